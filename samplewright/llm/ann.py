@@ -34,7 +34,7 @@ from .sparkio import Scratch
 SAMPLE = 8192
 PARTS, NEIGHBOURS, SLACK = 32, 10, 1.1
 HIDDEN, STEPS, BATCH = 128, 1500, 256
-TARGET = 0.97
+TARGET = 0.95
 BLOCK, QUERY_BLOCK = 4096, 1024
 
 
