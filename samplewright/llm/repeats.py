@@ -30,7 +30,7 @@ from .sparkio import Scratch, free_shuffles, partitions_for
 
 #: Bytes handled by one round of array passes; a longer text is cut into
 #: overlapping pieces, which changes blocks but never which windows repeat.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 ROWS = "kind int, bucket int, key long, lo int, n int, packed binary"
 ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("packed", pa.binary())])

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A shuffle partition is planned for about so many bytes of scanned input.
-BYTES_PER_PARTITION = 64 << 20
+BYTES_PER_PARTITION = 4 << 20
 MAX_PARTITIONS = 65_536
+#: Rows of an Arrow batch where the session has Spark's own number: whole texts are long rows.
+ARROW_ROWS, SPARKS_ROWS = "1000", "10000"
 #: doc_id of rows that have none, where an order is needed: after all others.
 NO_ID = 2**63 - 1
 
@@ -43,6 +45,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+        rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if spark.conf.get(rows) == SPARKS_ROWS:
+            spark.conf.set(rows, ARROW_ROWS)
         atexit.register(self.clear)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
