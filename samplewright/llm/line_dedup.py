@@ -119,7 +119,7 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rows = docs.mapInArrow(_chunk_rows(parts), GROUPS).repartition(parts, "bucket").mapInArrow(_chunk_groups, GROUPS)
     found = scratch.save(rows.select("kind", "gid", "key", "lo", "n"), "groups")
     spans = found.groupBy("key").agg(F.collect_list(F.struct("kind", "gid", "lo", "n")).alias("spans"))
-    each = docs.join(spans, "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")
+    each = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")
     each = scratch.save(each, "chunks")
     first = each.where(F.col("kind") == R.SPELL).groupBy("gid").agg(F.min("chunk").alias("own"))
     same = each.where(F.col("kind") == R.HIT).join(first, "gid").where("chunk = own")
@@ -157,10 +157,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     if rows is None:
         rest = [c for c in docs.columns if c not in names and c not in ("doc_id", "text")]
         whole = docs.select(F.col("doc_id").cast("long").alias("key"), "text", F.struct(*rest).alias("rest") if rest else F.lit(None).cast("struct<none:int>").alias("rest"))
-        out = whole.join(spans, "key", "left").select("key", "text", "spans", "rest").mapInArrow(_left_with_rest, "key long, n_lines long, n_removed long, n_chunks long, kept string, rest " + whole.schema["rest"].dataType.simpleString())
+        out = whole.join(spans.hint("merge"), "key", "left").select("key", "text", "spans", "rest").mapInArrow(_left_with_rest, "key long, n_lines long, n_removed long, n_chunks long, kept string, rest " + whole.schema["rest"].dataType.simpleString())
         back = [F.col(f"rest.`{c}`").alias(c) for c in rest]
         return out.select(F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), *back, "n_lines", "n_removed", "n_chunks", "kept")
-    out = own.join(spans, "key", "left").select("key", "text", "spans").mapInArrow(_left, "key long, n_lines long, n_removed long, n_chunks long, kept string")
+    out = own.join(spans.hint("merge"), "key", "left").select("key", "text", "spans").mapInArrow(_left, "key long, n_lines long, n_removed long, n_chunks long, kept string")
     match = own.withColumnRenamed("text", "_t").join(rows.distinct().withColumnRenamed("doc_id", "_i"), "key").join(out, "key").drop("key")
     clean = docs.drop(*(names - {"text"}))
     same = F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("text").eqNullSafe(F.col("_t"))

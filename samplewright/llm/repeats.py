@@ -83,7 +83,7 @@ def buckets_of(values: np.ndarray, buckets: int) -> np.ndarray:
 
 def dealt(entries: np.ndarray, by: str, buckets: int) -> pa.RecordBatch:
     """One packed row for each bucket that has entries."""
-    at = buckets_of(H.mix(entries[by] * H.BASES[1]), buckets)  # minima are not even
+    at = buckets_of(H.mix(entries[by].astype(H.U64) * H.BASES[1]), buckets)  # minima are not even
     order = np.lexsort((entries["check"], entries["anchor"], at))
     entries, at = entries[order], at[order]
     cut = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
@@ -312,7 +312,7 @@ def shuffled(rows: DataFrame, parts: int, reduce) -> DataFrame:
 def spelled(docs: DataFrame, found: DataFrame, parts: int, tokens: Tokens, n: int, both: bool, suffixes: bool, scratch: Scratch) -> DataFrame:
     """All hits (key, lo, n), from the first step's saved rows."""
     spans = found.where(F.col("kind") == SPELL).groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
-    rows = docs.join(spans, "key").select("key", "text", "spans").mapInArrow(window_rows(tokens, n, parts, both, suffixes), ROWS)
+    rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(window_rows(tokens, n, parts, both, suffixes), ROWS)
     windows = scratch.save(shuffled(rows, parts, merge_windows(both)).select("key", "lo", "n"), "windows")
     return found.where(F.col("kind") == HIT).select("key", "lo", "n").unionAll(windows)
 
@@ -329,7 +329,7 @@ def with_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """docs (key, text) with their runs; a document's list is no longer than the document."""
     spans = hits.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
     free_shuffles(docs.sparkSession)
-    return docs.join(spans, "key", "left")
+    return docs.join(spans.hint("merge"), "key", "left")
 
 
 def covered(spans: list | None, n: int, size: int) -> np.ndarray:
