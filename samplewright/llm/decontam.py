@@ -30,16 +30,30 @@ from .sparkio import Scratch, ascii_lower
 WINDOW = 10
 #: Terms that may be sent to every executor: with their counts some 10 MB.
 BROADCAST_TERMS = 100_000
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words; A-Z are lower-cased word by word.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Stands for the end of a document in its index; no word has a blank.
+END = " "
+
+
+def lower(word: Column) -> Column:
+    """A-Z only; `lower` does that, faster, where all letters are ASCII."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(ascii_lower(word))
+
+
+def parts(text: Column) -> Column:
+    """Words in order, as written; the first and the last part may be empty."""
+    return F.split(F.coalesce(text, F.lit("")), SEPARATORS)
+
+
+def empties(cut: Column) -> Column:
+    """How many of the parts are no words."""
+    return F.when(F.element_at(cut, 1) == "", 1).otherwise(0) + F.when((F.size(cut) > 1) & (F.element_at(cut, -1) == ""), 1).otherwise(0)
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words in order; null and wordless texts give an empty array."""
-    cut = F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS)
-    # at most the first and the last part are empty
-    lead = F.when(F.element_at(cut, 1) == "", 2).otherwise(1)
-    tail = F.when((F.size(cut) > 1) & (F.element_at(cut, -1) == ""), 1).otherwise(0)
-    return F.slice(cut, lead, F.greatest(F.size(cut) - lead + 1 - tail, F.lit(0)))
+    """Lower-cased words; null and wordless texts give an empty array. For short texts."""
+    return F.transform(F.filter(parts(text), lambda w: w != ""), lower)
 
 
 def _doc_key(docs: DataFrame) -> DataFrame:
@@ -59,23 +73,28 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
-    """(term, df): how often each of the terms stands in all documents."""
-    each = docs.select(F.explode(words(F.col("text"))).alias("term"))
+    """(term, n): how often each of the terms stands in all documents."""
+    each = docs.select(F.explode(parts(F.col("text"))).alias("word")).select(lower(F.col("word")).alias("term"))
     seen = each.join(_small(terms, rows), "term").groupBy("term").agg(F.count("*").alias("n"))
     return terms.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def postings(docs: DataFrame, terms: DataFrame, rows: int, around: int) -> DataFrame:
-    """The index: (term, k1, k2, pos, before, ctx), pos from 0; ctx: up to `around`
-    words on each side, `before` of them before pos."""
-    tokens = docs.select("k1", "k2", words(F.col("text")).alias("t"))
-    each = tokens.select("k1", "k2", "t", F.posexplode("t").alias("pos", "term"))
+    """The index: (term, k1, k2, doc_id, pos, empties, before, ctx), pos from 0;
+    ctx: up to `around` words on each side, `before` of them before pos. Each
+    document also has a row of the term END, whose pos is the number of its parts."""
+    tokens = docs.select("k1", "k2", "doc_id", F.array_append(parts(F.col("text")), F.lit(END)).alias("t"))
+    each = tokens.select("k1", "k2", "doc_id", "t", F.posexplode("t").alias("pos", "word")).withColumn("term", lower(F.col("word")))
     before = F.least(F.col("pos"), F.lit(around))
-    return each.join(_small(terms, rows), "term").select("term", "k1", "k2", "pos", before.alias("before"), F.slice("t", F.col("pos") - before + 1, before + around + 1).alias("ctx"))
+    wanted = terms.unionAll(docs.sparkSession.range(1).select(F.lit(END).alias("term")))
+    found = each.join(_small(wanted, rows), "term")
+    ctx = F.transform(F.slice("t", F.col("pos") - before + 1, before + around + 1), lower)
+    skipped = F.when(F.col("term") == END, empties(F.slice("t", F.lit(1), F.col("pos")))).cast("int")
+    return found.select("term", "k1", "k2", "doc_id", "pos", skipped.alias("empties"), before.alias("before"), F.when(F.col("term") != END, ctx).alias("ctx"))
 
 
 def build(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, width: int = WINDOW):
-    """(keyed documents, windows with their two rarest terms, the stored index)."""
+    """(keyed documents, windows by item, windows with their two rarest terms, the stored index)."""
     keyed = _doc_key(docs)
     wins = scratch.save(windows(benchmark, width), "windows")
     terms = scratch.save(wins.select(F.explode("win").alias("term")).distinct(), "terms")
@@ -117,7 +136,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     """docs (doc_id, text, …), benchmark (item_id, text, …) → doc_id, n_words,
     n_hit, n_items, items_sha256, contaminated."""
     scratch = Scratch(docs.sparkSession, "decontam")
-    keyed, wins, chosen, index = build(docs, benchmark, scratch, width)
+    _, wins, chosen, index = build(docs, benchmark, scratch, width)
     found = scratch.save(phrase_matches(chosen, index), "matches")
     # words covered: runs of the windows' starts, merged in order within a document
     spans = found.select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.size("win")).alias("hi")).distinct()
@@ -128,7 +147,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     items = found.select("k1", "k2", "win").distinct().join(wins.where("item_id is not null"), "win").select("k1", "k2", F.col("item_id").cast("string").alias("i")).distinct()
     items = items.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("items"))  # no more than the benchmark's items
     marks = hits.join(items, ["k1", "k2"], "left")
-    counted = keyed.select("k1", "k2", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    counted = index.where(F.col("term") == END).select("k1", "k2", "doc_id", (F.col("pos") - F.col("empties")).cast("long").alias("n_words"))
     out = counted.join(marks, ["k1", "k2"], "left")
     names = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
