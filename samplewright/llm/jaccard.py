@@ -144,61 +144,62 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _all_rows(buckets: int):
-    """(sid, tokens) to packed (token, sid) of all tokens."""
+    """(sid, tokens) to packed (token, sid, size of the set) of all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
                 sets = [np.frombuffer(x, H.U64) for x in b.column("tokens").to_pylist()]
-                e = np.zeros(sum(map(len, sets)), R.ENTRY)
+                size = np.array([len(s) for s in sets], np.int64)
+                e = np.zeros(size.sum(), R.ENTRY)
                 if len(e):
-                    e["anchor"], e["key"], e["n"] = np.concatenate(sets), np.repeat(b.column("sid").to_numpy(), [len(s) for s in sets]), 1
+                    e["anchor"], e["key"], e["lo"] = np.concatenate(sets), np.repeat(b.column("sid").to_numpy(), size), np.repeat(size, size)
                     yield R.dealt(e, "anchor", buckets)
 
     return run
 
 
-FREQ = np.dtype([("token", "<u8"), ("df", "<u4")])
+def _frequencies(buckets: int):
+    """Tokens that two sets or more hold, with that number in `check`, dealt by set."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
+        if not entries:
+            return
+        e = np.concatenate(entries)
+        entries.clear()
+        e = e[np.argsort(e["anchor"], kind="stable")]
+        new = np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]
+        e["check"] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1]
+        e = e[e["check"] > 1]
+        if len(e):
+            yield R.dealt(e, "key", buckets)
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, packed FREQ of its tokens that two sets or more hold)."""
-    entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
-    if not entries:
-        return
-    e = np.concatenate(entries)
-    entries.clear()
-    e = e[np.argsort(e["anchor"], kind="stable")]
-    new = np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]
-    df = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1]
-    e, df = e[df > 1], df[df > 1]
-    order = np.argsort(e["key"], kind="stable")
-    e, df = e[order], df[order]
-    cut = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]]) if len(e) else np.zeros(0, int)
-    out = np.empty(len(e), FREQ)
-    out["token"], out["df"] = e["anchor"], df
-    packed = [out[a:b].tobytes() for a, b in zip(cut, np.r_[cut[1:], len(e)], strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(e["key"][cut], pa.int64()), pa.array(packed, pa.binary())], names=["sid", "freq"])
+    return run
 
 
 def _rare_rows(buckets: int):
-    """(sid, n, freqs) to packed (token, sid) of the rarest-first prefix."""
+    """Each set's rarest-first prefix, without the tokens that only it holds
+    (those come first), dealt by token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = []
-            for sid, n, freqs in zip(b.column("sid").to_pylist(), b.column("n").to_pylist(), b.column("freqs").to_pylist(), strict=True):
-                f = np.frombuffer(b"".join(freqs), FREQ)
-                take = n - int(least_overlap(n)) + 1 - (n - len(f))  # tokens no other set holds come first
-                if len(f) < least_overlap(n) or take <= 0:
-                    continue
-                f = f[np.lexsort((f["token"], f["df"]))[:take]]
-                e = np.zeros(len(f), R.ENTRY)
-                e["anchor"], e["key"], e["n"] = f["token"], sid, 1
-                found.append(e)
-            if found:
-                yield R.dealt(np.concatenate(found), "anchor", buckets)
+        entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
+        if not entries:
+            return
+        e = np.concatenate(entries)
+        entries.clear()
+        e = e[np.lexsort((e["anchor"], e["check"], e["key"]))]
+        first = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]])
+        shared = np.diff(np.r_[first, len(e)])
+        n = e["lo"][first].astype(np.int64)
+        take = n - least_overlap(n) + 1 - (n - shared)
+        take = np.where(shared >= least_overlap(n), np.maximum(take, 0), 0)
+        at = np.repeat(first, take) + R._ramp(take)
+        if len(at):
+            kept = e[at]
+            kept["check"] = 0
+            yield R.dealt(kept, "anchor", buckets)
 
     return run
 
@@ -348,10 +349,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     alive = sets.join(shared, "d1").where(F.col("c") >= F.ceil(F.col("n") / 16)).select("sid", "n")
     alive = scratch.save(own.join(alive.withColumnRenamed("sid", "key"), "key").select("key", "text").mapInArrow(_set_rows, "sid long, tokens binary"), "sets")
 
-    counted = alive.mapInArrow(_all_rows(parts), R.ROWS).repartition(parts, "bucket").mapInArrow(_frequencies, "sid long, freq binary")
+    tokens = alive.mapInArrow(_all_rows(parts), R.ROWS)
+    for reduce in (_frequencies(parts), _rare_rows(parts)):
+        tokens = R.shuffled(tokens, parts, reduce)
+    edges = tokens.repartition(parts, "bucket").mapInArrow(_stars, "a long, b long")
     n = (F.octet_length("tokens") / 8).cast("int").alias("n")
-    freqs = counted.groupBy("sid").agg(F.collect_list("freq").alias("freqs")).join(alive.select("sid", n), "sid").select("sid", "n", "freqs")
-    edges = freqs.mapInArrow(_rare_rows(parts), R.ROWS).repartition(parts, "bucket").mapInArrow(_stars, "a long, b long")
     clusters = components(edges, scratch, "candidates")
 
     members = scratch.save(alive.select("sid", n).join(clusters.withColumnRenamed("node", "sid"), "sid"), "members")
