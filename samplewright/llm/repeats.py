@@ -7,13 +7,17 @@ blocks with equal anchors. Three steps follow.
 
 1. Blocks, some 2/(n-w+2) a token, are dealt out by anchor, packed as arrays;
    copies within a batch are merged before that. Equal blocks are repeats in
-   full. An anchor with several different blocks is ambiguous.
-2. One copy of each ambiguous block is spelled out window by window; windows
-   are dealt out by their own fingerprint, again merged in the batch first.
+   full. Of different blocks with one anchor, those that agree before or after
+   it, over half of what a window has besides, are ambiguous: no others can
+   share a window.
+2. One copy of each ambiguous block goes, with its tokens, to where its anchor
+   is dealt to. There blocks are spelled out window by window, some anchors at
+   a time, and equal windows found.
 3. Runs of repeated windows come back to their documents.
 
 No key gathers more than one entry for each batch and different content.
-Two independent 64-bit hashes must agree for anything to count as equal.
+Two independent 64-bit hashes must agree for anything to count as equal;
+byte windows of ambiguous blocks are compared themselves.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from .sparkio import Scratch, free_shuffles, partitions_for
 #: Bytes handled by one round of array passes; a longer text is cut into
 #: overlapping pieces, which changes blocks but never which windows repeat.
 PIECE = 1 << 20
+#: Windows that are spelled out at a time.
+SPELLED = 1 << 18
 
 ROWS = "kind int, bucket int, key long, lo int, n int, packed binary"
 ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("packed", pa.binary())])
@@ -42,19 +48,22 @@ TWICE, INNER = 1, 2
 
 ENTRY = np.dtype([("anchor", "<u8"), ("check", "<u8"), ("key", "<i8"), ("lo", "<i4"), ("n", "<i4"), ("flags", "u1")])
 
+#: a block: also what stands before and after its anchor (0: too little in the block)
+SIDED = np.dtype([*ENTRY.descr, ("left", "<u4"), ("right", "<u4")])
+
 #: tokens(bytes, offsets) -> (code of each token, first token of each text)
 Tokens = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def pack(entries: np.ndarray) -> bytes:
-    return b"".join(entries[f].tobytes() for f in ENTRY.names)
+    return b"".join(entries[f].tobytes() for f in entries.dtype.names)
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    n = len(blob) // ENTRY.itemsize
-    out, at = np.empty(n, ENTRY), 0
-    for f in ENTRY.names:
-        kind = ENTRY[f]
+def unpack(blob: bytes, dtype: np.dtype = ENTRY) -> np.ndarray:
+    n = len(blob) // dtype.itemsize
+    out, at = np.empty(n, dtype), 0
+    for f in dtype.names:
+        kind = dtype[f]
         out[f] = np.frombuffer(blob, kind, n, at)
         at += n * kind.itemsize
     return out
@@ -135,7 +144,7 @@ def valid_starts(first: np.ndarray, n: int, total: int) -> np.ndarray:
 def blocks(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: int) -> np.ndarray:
     """Entries of one batch; keys: of each text."""
     if len(codes) < n:
-        return np.empty(0, ENTRY)
+        return np.empty(0, SIDED)
     grams = H.Rolling(codes, H.BASES[0]).grams(w)
     least = H.sliding_min(grams, n - w + 1)
     ok = valid_starts(first, n, len(least))
@@ -145,12 +154,13 @@ def blocks(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: in
     begin[1:] &= ~ok[:-1] | (least[1:] != least[:-1]) | own[1 : len(ok)]
     lo = np.flatnonzero(begin)
     if not len(lo):
-        return np.empty(0, ENTRY)
+        return np.empty(0, SIDED)
     # a block lasts to the next one or to the last window of its text
     text = np.searchsorted(first, lo, "right") - 1
     hi = np.minimum(np.r_[lo[1:], len(codes)], first[text + 1] - n + 1)
-    out = np.empty(len(lo), ENTRY)
-    out["anchor"], out["check"] = least[lo], H.Rolling(codes, H.BASES[1]).spans(lo, hi - 1 + n)
+    out = np.empty(len(lo), SIDED)
+    rolling = H.Rolling(codes, H.BASES[1])
+    out["anchor"], out["check"] = least[lo], rolling.spans(lo, hi - 1 + n)
     out["key"], out["lo"], out["n"] = keys[text], lo - first[text], hi - lo
     # grams that are the least of some window, and how many of a block's are its anchor
     edge = np.zeros(n - w, H.U64)
@@ -158,8 +168,25 @@ def blocks(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: in
     least_at = np.flatnonzero(grams == most)
     a, b = np.searchsorted(least_at, lo), np.searchsorted(least_at, hi + n - w)
     block = np.repeat(np.arange(len(lo)), b - a)
-    same = grams[least_at[np.repeat(a, b - a) + _ramp(b - a)]] == out["anchor"][block]
+    place = least_at[np.repeat(a, b - a) + _ramp(b - a)]
+    same = grams[place] == out["anchor"][block]
     out["flags"] = np.where(np.bincount(block[same], minlength=len(lo)) > 1, INNER, 0)
+    at = np.zeros(len(lo), np.int64)
+    at[block[same]] = place[same]
+    half = -(-(n - w) // 2)
+    for side, start, room in (("left", at - half, at - half >= lo), ("right", at + w, at + w + half < hi + n)):
+        out[side] = 0
+        out[side][room] = (rolling.spans(start[room], start[room] + half) >> H.U64(32)) | H.U64(1)
+    return out
+
+
+def alike(entries: np.ndarray, side: str) -> np.ndarray:
+    """Which entries share their anchor and that side with another one."""
+    order = np.lexsort((entries[side], entries["anchor"]))
+    e = entries[order]
+    equal = (e["anchor"][1:] == e["anchor"][:-1]) & (e[side][1:] == e[side][:-1]) & (e[side][1:] > 0)
+    out = np.empty(len(e), bool)
+    out[order] = np.r_[False, equal] | np.r_[equal, False]
     return out
 
 
@@ -197,13 +224,13 @@ def block_rows(tokens: Tokens, n: int, w: int, buckets: int, both: bool):
     return run
 
 
-def gathered(batches: Iterator[pa.RecordBatch], entries: list) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], entries: list, dtype: np.dtype = ENTRY) -> Iterator[pa.RecordBatch]:
     """Passes on rows that aren't packed; entries: gets the others' content."""
     for b in batches:
         kind = b.column("kind").to_numpy(zero_copy_only=False)
         if (kind != PACKED).any():
             yield b.filter(pa.array(kind != PACKED))
-        entries += [unpack(x) for x in b.column("packed").filter(pa.array(kind == PACKED)).to_pylist()]
+        entries += [unpack(x, dtype) for x in b.column("packed").filter(pa.array(kind == PACKED)).to_pylist()]
 
 
 def merge_blocks(both: bool, keep: bool = False, buckets: int = 0):
@@ -211,7 +238,7 @@ def merge_blocks(both: bool, keep: bool = False, buckets: int = 0):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries: list[np.ndarray] = []
-        yield from gathered(batches, entries)
+        yield from gathered(batches, entries, SIDED)
         if not entries:
             return
         lead, hit = merged(np.concatenate(entries), both)
@@ -221,20 +248,25 @@ def merge_blocks(both: bool, keep: bool = False, buckets: int = 0):
         if keep:
             yield dealt(lead, "anchor", buckets)
             return
-        same = np.r_[False, lead["anchor"][1:] == lead["anchor"][:-1]]
-        many = same | np.r_[same[1:], False] | (lead["flags"] & INNER > 0)
+        group = np.cumsum(np.r_[True, lead["anchor"][1:] != lead["anchor"][:-1]]) - 1
+        inner = np.bincount(group, weights=lead["flags"] & INNER) > 0  # its anchor may stand anywhere
+        many = inner[group] | alike(lead, "left") | alike(lead, "right")
         if many.any():
             yield table(SPELL, lead["key"][many], lead["lo"][many], lead["n"][many])
 
     return run
 
 
-def suffix_order(codes: np.ndarray, n: int) -> np.ndarray:
-    """Rank of each position's n-token string in the order of a suffix array
-    cut at depth n (prefix doubling); equal strings have equal ranks. Strings
-    that run over the end rank as if padded with what sorts first."""
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    depth = 1
+def suffix_order(data: np.ndarray, n: int) -> np.ndarray:
+    """Rank of each byte's n-byte string in the order of a suffix array cut at
+    depth n (prefix doubling, from words of 8 bytes); equal strings have equal
+    ranks. Strings that run over the end rank as if padded with zeros."""
+    depth = min(8, n)
+    padded = np.concatenate([data, np.zeros(depth - 1, np.uint8)]).astype(H.U64)
+    rank = np.zeros(len(data), H.U64)
+    for k in range(depth):
+        rank = rank << H.U64(8) | padded[k : k + len(data)]
+    rank = np.unique(rank, return_inverse=True)[1].astype(np.int64) + 1
     while depth < n:
         step = min(depth, n - depth)
         after = np.zeros(len(rank), np.int64)
@@ -244,44 +276,33 @@ def suffix_order(codes: np.ndarray, n: int) -> np.ndarray:
     return rank
 
 
-def window_rows(tokens: Tokens, n: int, buckets: int, both: bool, suffixes: bool):
-    """The second step's map: (key, text, spans) to packed windows."""
-
-    def spell(codes, first, keys, spans):
-        # the dictionary: every ambiguous block with the n-1 tokens after it, end to end
-        text = np.repeat(np.arange(len(spans)), [len(s) for s in spans])
-        lo = np.concatenate([[x["lo"] for x in s] for s in spans]).astype(np.int64)
-        m = np.concatenate([[x["n"] for x in s] for s in spans]).astype(np.int64)
-        start = np.repeat(first[text] + lo, m) + _ramp(m)
-        e = np.empty(len(start), ENTRY)
-        e["anchor"] = H.Rolling(codes, H.BASES[0]).spans(start, start + n)
-        e["check"] = H.Rolling(codes, H.BASES[1]).spans(start, start + n)
-        e["key"], e["lo"], e["n"], e["flags"] = np.repeat(keys[text], m), np.repeat(lo, m) + _ramp(m), 1, 0
-        if suffixes:
-            size = m + n - 1
-            dictionary = codes[np.repeat(first[text] + lo, size) + _ramp(size)]
-            begin = np.repeat(np.cumsum(size) - size, m) + _ramp(m)
-            return e, suffix_order(dictionary, n)[begin]
-        return e, None
+def content_rows(tokens: Tokens, n: int, w: int, buckets: int, bytewise: bool):
+    """The second step's map: (key, text, spans) to blocks with their tokens
+    (bytes, or codes of words), packed by the anchor's bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in pieces(big):
                 keys = batch.column("key").to_numpy(zero_copy_only=False)
-                codes, first = tokens(*H.batch_bytes(batch.column("text")))
-                e, rank = spell(codes, first, keys, batch.column("spans").to_pylist())
-                if rank is None:
-                    lead, hit = merged(e, both)
-                else:  # neighbours in corpus order with a common prefix of n are equal windows
-                    named = e.copy()
-                    named["anchor"], named["check"] = rank, 0
-                    lead, hit = merged(named, both)
-                    back = np.lexsort((e["lo"], e["key"], rank))
-                    at = back[np.searchsorted(rank[back], lead["anchor"])]
-                    lead["anchor"], lead["check"] = e["anchor"][at], e["check"][at]
-                if len(hit):
-                    yield table(HIT, hit["key"], hit["lo"], hit["n"])
-                yield dealt(lead, "anchor", buckets)
+                data, offs = H.batch_bytes(batch.column("text"))
+                codes, first = tokens(data, offs)
+                spans = batch.column("spans").to_pylist()
+                text = np.repeat(np.arange(len(spans)), [len(s) for s in spans])
+                e = np.zeros(len(text), ENTRY)
+                e["key"] = keys[text]
+                e["lo"], e["n"] = [x["lo"] for s in spans for x in s], [x["n"] for s in spans for x in s]
+                start = first[text] + e["lo"]
+                e["anchor"] = H.sliding_min(H.Rolling(codes, H.BASES[0]).grams(w), n - w + 1)[start]
+                raw = data if bytewise else codes
+                at = buckets_of(H.mix(e["anchor"] * H.BASES[1]), buckets)
+                order = np.argsort(at, kind="stable")
+                cut = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
+                packed = []
+                for own in np.split(order, cut[1:]):
+                    stop = start[own] + e["n"][own] + n - 1
+                    content = np.concatenate([raw[a:b] for a, b in zip(start[own], stop, strict=True)])
+                    packed.append(np.int32(len(own)).tobytes() + pack(e[own]) + content.tobytes())
+                yield table(PACKED, bucket=at[order][cut], packed=packed)
 
     return run
 
@@ -291,15 +312,50 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def merge_windows(both: bool):
-    """The second step's reduce: hits, as runs of neighbouring windows."""
+def joined(hit: np.ndarray) -> np.ndarray:
+    """Single windows to runs of neighbours."""
+    hit = hit[np.lexsort((hit["lo"], hit["key"]))]
+    step = np.flatnonzero(np.r_[True, (hit["key"][1:] != hit["key"][:-1]) | (hit["lo"][1:] != hit["lo"][:-1] + 1)])
+    out = hit[step]
+    out["n"] = np.diff(np.r_[step, len(hit)])
+    return out
+
+
+def merge_content(n: int, both: bool, bytewise: bool):
+    """The second step's reduce: runs of windows that repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries: list[np.ndarray] = []
-        yield from gathered(batches, entries)
-        if entries:
-            _, hit = merged(np.concatenate(entries), both)
+        found, contents = [], []
+        for blob in (x for b in batches for x in b.column("packed").to_pylist()):
+            end = 4 + int(np.frombuffer(blob, np.int32, 1)[0]) * ENTRY.itemsize
+            found.append(unpack(blob[4:end]))
+            contents.append(np.frombuffer(blob[end:], np.uint8 if bytewise else H.U64))
+        if not found:
+            return
+        e, raw = np.concatenate(found), np.concatenate(contents)
+        contents.clear()
+        size = e["n"].astype(np.int64) + n - 1
+        start = np.cumsum(size) - size
+        order = np.argsort(e["anchor"], kind="stable")
+        e, size, start = e[order], size[order], start[order]
+        # slices of whole anchors
+        group = np.cumsum(np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]) - 1
+        before = np.cumsum(e["n"], dtype=np.int64) - e["n"]
+        slice_ = (before[np.searchsorted(group, group)]) // SPELLED
+        for own in np.split(np.arange(len(e)), np.flatnonzero(np.diff(slice_)) + 1):
+            m, long = e["n"][own].astype(np.int64), size[own]
+            dictionary = raw[np.repeat(start[own], long) + _ramp(long)]
+            begin = np.repeat(np.cumsum(long) - long, m) + _ramp(m)
+            each = np.zeros(len(begin), ENTRY)
+            if bytewise:  # neighbours in this order with a common prefix of n are equal windows
+                each["anchor"] = suffix_order(dictionary, n)[begin]
+            else:
+                for field, base in zip(("anchor", "check"), H.BASES, strict=True):
+                    each[field] = H.Rolling(dictionary, base).spans(begin, begin + n)
+            each["key"], each["lo"], each["n"] = np.repeat(e["key"][own], m), np.repeat(e["lo"][own], m) + _ramp(m), 1
+            _, hit = merged(each, both)
             if len(hit):
+                hit = joined(hit)
                 yield table(HIT, hit["key"], hit["lo"], hit["n"])
 
     return run
@@ -309,20 +365,20 @@ def shuffled(rows: DataFrame, parts: int, reduce) -> DataFrame:
     return rows.repartition(parts, "bucket").mapInArrow(reduce, ROWS)
 
 
-def spelled(docs: DataFrame, found: DataFrame, parts: int, tokens: Tokens, n: int, both: bool, suffixes: bool, scratch: Scratch) -> DataFrame:
+def spelled(docs: DataFrame, found: DataFrame, parts: int, tokens: Tokens, n: int, w: int, both: bool, bytewise: bool, scratch: Scratch) -> DataFrame:
     """All hits (key, lo, n), from the first step's saved rows."""
     spans = found.where(F.col("kind") == SPELL).groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
-    rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(window_rows(tokens, n, parts, both, suffixes), ROWS)
-    windows = scratch.save(shuffled(rows, parts, merge_windows(both)).select("key", "lo", "n"), "windows")
+    rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(content_rows(tokens, n, w, parts, bytewise), ROWS)
+    windows = scratch.save(shuffled(rows, parts, merge_content(n, both, bytewise)).select("key", "lo", "n"), "windows")
     return found.where(F.col("kind") == HIT).select("key", "lo", "n").unionAll(windows)
 
 
-def repeats(docs: DataFrame, tokens: Tokens, n: int, w: int, both: bool, suffixes: bool, scratch: Scratch) -> DataFrame:
+def repeats(docs: DataFrame, tokens: Tokens, n: int, w: int, both: bool, bytewise: bool, scratch: Scratch) -> DataFrame:
     """(key, lo, n): runs of n windows from token lo on that repeat. docs: (key, text)."""
     parts = partitions_for(docs)
     rows = docs.mapInArrow(block_rows(tokens, n, w, parts, both), ROWS)
     found = scratch.save(shuffled(rows, parts, merge_blocks(both)).select("kind", "key", "lo", "n"), "blocks")
-    return spelled(docs, found, parts, tokens, n, both, suffixes, scratch)
+    return spelled(docs, found, parts, tokens, n, w, both, bytewise, scratch)
 
 
 def with_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:

@@ -5,10 +5,10 @@ cut every document into phrases. The dictionary holds each different phrase
 once, together with the bytes its windows reach into; the parse is the list
 of (document, place) that refer to it. Phrases whose every window lies in an
 equal phrase need no sorting. The rest of the dictionary is put into suffix
-order, cut at the window length, batch by batch; neighbours with a common
-prefix of that length are equal strings, and the batches' orders combine by
-the strings' fingerprints, since only equality and the first place of a string
-are asked for.
+order, cut at the window length, for some trigger values at a time; neighbours
+with a common prefix of that length are equal strings. Equal strings have
+equal triggers, so the parts' orders need no merging: only equality and the
+first place of a string are asked for.
 
 Nulls: a null text is empty. Documents shorter than a window keep everything.
 Rows equal in doc_id and text are one document and get one result each; null
@@ -60,7 +60,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, te
     that a string of `window` bytes covers which also starts earlier."""
     scratch = Scratch(docs.sparkSession, "suffix")
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
-    hits = R.repeats(own, byte_tokens, window, gram, both=False, suffixes=True, scratch=scratch)
+    hits = R.repeats(own, byte_tokens, window, gram, both=False, bytewise=True, scratch=scratch)
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     out = R.with_hits(own, hits).select("key", "text", "spans").mapInArrow(_kept(window, texts), schema)
     out = by_doc_id(out, rows)

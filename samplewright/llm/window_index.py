@@ -75,7 +75,7 @@ class FingerprintIndex:
         """(key, lo, n): windows that start more than once in all that was
         added; docs (key, text) must hold the added documents."""
         found = scratch.save(R.shuffled(self._read(), self.buckets, R.merge_blocks(both=True)).select("kind", "key", "lo", "n"), "blocks")
-        return R.spelled(docs, found, self.buckets, word_tokens, self.window, both=True, suffixes=False, scratch=scratch)
+        return R.spelled(docs, found, self.buckets, word_tokens, self.window, self.gram, both=True, bytewise=False, scratch=scratch)
 
 
 def _kept(window: int, texts: bool):
