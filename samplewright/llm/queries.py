@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, langid, line_dedup, mixing, suffix_dedup, token_counts, url_filter, window_index
+from . import ann, decontam, jaccard, langid, line_dedup, mixing, oracles, suffix_dedup, token_counts, url_filter, window_index
 from .sparkio import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,5 +64,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_suffix_dedup, op2_learned_partitions, op3_url_filter, op4_language_id, op5_mixing, op6_jaccard_join, op7_line_dedup, op8_decontamination, op9_window_dedup, op10_token_counts)
 }
-#: The others are tested against brute force: SQL is too slow on whole tables, or can't express them.
-SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL}
+#: The others are tested against brute force: they choose by hash, learn, or encode, which SQL can't express.
+SQL: dict[str, str] = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op3_url_filter": url_filter.SQL,
+    "op6_jaccard_join": oracles.JACCARD_JOIN,
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op9_window_dedup": oracles.WINDOW_DEDUP,
+}
