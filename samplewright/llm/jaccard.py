@@ -15,8 +15,13 @@ Two texts link when 100 * |x ∩ y| >= 75 * |x ∪ y| over their sets of distinc
    children's bitmaps and the range of sizes. A dual traversal of the
    tree with itself drops node pairs whose greatest possible overlap
    cannot reach the threshold, and those already connected; the pairs of sets
-   that remain are intersected exactly. Clusters of over BLOCK sets are cut
-   into blocks by size and hash, and pairs of blocks are traversed instead.
+   that remain are intersected exactly.
+4. Clusters of over BLOCK sets are cut into blocks by size and hash. Blocks are
+   traversed with themselves, then one set of each block's largest group with
+   those of other blocks. What is connected then to the cluster's largest group
+   needs no more comparing within it: only blocks of other sets are
+   traversed with each other and with those of the group, so a
+   cluster of near copies takes time in proportion to its size.
 
 Nulls: a null text, or one without words, has an empty set, links with nothing
 and is its own component. Fewer than 5 words: the whole sequence is
@@ -40,7 +45,8 @@ from .components import components
 from .sparkio import Scratch, by_doc_id, keyed, partitions_for
 
 K, SIMILAR = 5, 75
-BLOCK = 1024
+#: Sets of one task in a large cluster.
+BLOCK = 512
 #: Words of 64 bits in a signature; sets of one leaf; children of a node.
 WIDTH, LEAF, FANOUT = 32, 16, 8
 SEPARATOR = H.SPACE
@@ -247,13 +253,17 @@ def _ones(bits) -> np.ndarray:
     return np.bitwise_count(bits).sum(-1, dtype=np.int64)
 
 
-def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
+def links(left: Tree, right: Tree | None = None, group: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links of left with right, or with itself;
-    nodes of right are numbered after those of left."""
+    nodes of right are numbered after those of left. group: of each node; those
+    of one group are connected already."""
     own = right is None
     right = left if own else right
     shift = 0 if own else len(left.sets)
     root = list(range(len(left.sets) + (0 if own else len(right.sets))))
+    if group is not None:
+        _, first, of = np.unique(group, return_index=True, return_inverse=True)
+        root = first[of].tolist()
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -297,43 +307,77 @@ def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
     return out
 
 
-def _joined(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """One cluster, or one pair of blocks (side 0 and 1), to forest edges of set ids."""
+def _joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One cluster or block, or one pair of blocks (side 0 and 1), to forest edges of set ids."""
     pdf = pdf.sort_values(["side", "n", "sid"])
     sets = [np.frombuffer(x, H.U64) for x in pdf["tokens"]]
-    ids = pdf["sid"].to_numpy()
+    ids, group = pdf["sid"].to_numpy(), pdf["known"].to_numpy()
     cut = int((pdf["side"] == 0).sum())
-    if not sets:
-        pairs = []
-    elif cut == len(sets):
-        pairs = links(Tree(sets))
-    elif cut:
-        pairs = links(Tree(sets[:cut]), Tree(sets[cut:]))
-    else:
-        pairs = []
+    pairs = []
+    if sets and cut == len(sets):
+        pairs = links(Tree(sets), group=group)
+    elif sets and cut:
+        pairs = links(Tree(sets[:cut]), Tree(sets[cut:]), group)
     return pd.DataFrame({"a": [ids[a] for a, _ in pairs], "b": [ids[b] for _, b in pairs]}, dtype="int64")
 
 
-def blocked(members: DataFrame) -> DataFrame:
-    """members (sid, n, label) to (task, side, sid, n): each cluster of up to
-    BLOCK sets is a task; of larger ones, each pair of blocks that sizes allow."""
-    count = members.groupBy("label").agg(F.count("*").alias("c"))
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SIMILAR)) + 1e-9).cast("int")
-    sized = members.join(count, "label")
-    small = sized.where(F.col("c") <= BLOCK).select(F.concat_ws(":", "label").alias("task"), F.lit(0).alias("side"), "sid", "n")
-    large = sized.where(F.col("c") > BLOCK).withColumn("level", level)
-    levels = large.groupBy("label", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    large = large.join(levels, ["label", "level"]).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts").cast("long")).cast("int"))
-    blocks = levels.select("label", "level", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    left = blocks.toDF("label", "la", "pa")
-    right = blocks.toDF("label", "lb", "pb")
-    pairs = left.join(right, "label").where("(lb = la and pb >= pa) or lb = la + 1")
-    task = F.concat_ws(":", "label", "la", "pa", "lb", "pb")
-    pairs = pairs.select("label", "la", "pa", "lb", "pb", task.alias("task"))
-    sides = pairs.select("label", F.col("la").alias("level"), F.col("pa").alias("part"), "task", F.lit(0).alias("side")).unionAll(
-        pairs.where("not (la = lb and pa = pb)").select("label", F.col("lb"), F.col("pb"), "task", F.lit(1))
+def _forest(tasks: DataFrame, alive: DataFrame) -> DataFrame:
+    """tasks (task, side, sid, n, known) to edges (a, b)."""
+    return tasks.join(alive, "sid").groupBy("task").applyInPandas(_joined, "a long, b long")
+
+
+def _spread(sets: DataFrame, *by: str) -> DataFrame:
+    """Adds `part`: blocks of about BLOCK sets that are equal in `by`."""
+    parts = sets.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    return sets.join(parts, list(by)).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts"))).drop("parts")
+
+
+def _task(*by: str, side: int = 0, known: str = "sid") -> list:
+    return [F.concat_ws(":", *by).alias("task"), F.lit(side).alias("side"), "sid", "n", F.col(known).alias("known")]
+
+
+def _grouped(sets: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Adds `known`: the component that the edges make."""
+    found = components(edges, scratch, name).select(F.col("node").alias("sid"), F.col("label").alias("known"))
+    return sets.join(found, "sid", "left").withColumn("known", F.coalesce("known", "sid"))
+
+
+def _unsettled(large: DataFrame) -> DataFrame:
+    """large (label, level, sid, n, known) to tasks: the pairs of blocks that may
+    hold links between different groups."""
+    sizes = large.groupBy("label", "known").agg(F.count("*").alias("c"))
+    most = sizes.groupBy("label").agg(F.max(F.struct("c", "known"))["known"].alias("most"))
+    sets = large.join(most, "label").withColumn("other", F.col("known") != F.col("most")).drop("most")
+    sets = _spread(sets, "label", "level", "other")
+    blocks = sets.select("label", "level", "other", "part").distinct()
+    left, right = blocks.toDF("label", "la", "oa", "pa"), blocks.toDF("label", "lb", "ob", "pb")
+    ordered = (F.col("lb") == F.col("la") + 1) | ((F.col("la") == F.col("lb")) & (F.struct("oa", "pa") <= F.struct("ob", "pb")))
+    pairs = left.where("oa").join(right, "label").where(ordered).unionAll(left.where("not oa").join(right.where("ob"), "label").where(ordered))
+    pairs = pairs.withColumn("task", F.concat_ws(":", "label", "la", "oa", "pa", "lb", "ob", "pb"))
+    same = (F.col("la") == F.col("lb")) & (F.col("oa") == F.col("ob")) & (F.col("pa") == F.col("pb"))
+    sides = pairs.select("label", F.col("la").alias("level"), F.col("oa").alias("other"), F.col("pa").alias("part"), "task", F.lit(0).alias("side")).unionAll(
+        pairs.where(~same).select("label", "lb", "ob", "pb", "task", F.lit(1))
     )
-    return small.unionAll(large.join(sides, ["label", "level", "part"]).select("task", "side", "sid", "n"))
+    return sets.join(sides, ["label", "level", "other", "part"]).select("task", "side", "sid", "n", "known")
+
+
+def cluster_links(members: DataFrame, alive: DataFrame, scratch: Scratch) -> DataFrame:
+    """members (sid, n, label), alive (sid, tokens) to edges (a, b) that connect
+    what links connect."""
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SIMILAR)) + 1e-9).cast("int")
+    sized = members.join(members.groupBy("label").agg(F.count("*").alias("c")), "label").withColumn("level", level)
+    large = scratch.save(_spread(sized.where(F.col("c") > BLOCK), "label", "level"), "large")
+    small = sized.where(F.col("c") <= BLOCK)
+    edges = scratch.save(_forest(small.select(*_task("label")).unionAll(large.select(*_task("label", "level", "part"))), alive), "inside")
+    if large.isEmpty():
+        return edges
+    # one set of the largest group of each block
+    inside = _grouped(large, edges, scratch, "groups")
+    groups = inside.groupBy("label", "level", "part", "known").agg(F.count("*").alias("c"), F.min(F.struct("sid", "n")).alias("first"))
+    heads = groups.groupBy("label", "level", "part").agg(F.max(F.struct("c", "first"))["first"].alias("first")).select("label", "first.sid", "first.n")
+    edges = edges.unionAll(scratch.save(_forest(_spread(heads, "label").select(*_task("label", "part")), alive), "across"))
+    inside = scratch.save(_grouped(large.drop("part"), edges, scratch, "joined"), "settled")
+    return edges.unionAll(scratch.save(_forest(_unsettled(inside), alive), "rest"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -357,8 +401,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     clusters = components(edges, scratch, "candidates")
 
     members = scratch.save(alive.select("sid", n).join(clusters.withColumnRenamed("node", "sid"), "sid"), "members")
-    tasks = blocked(members).join(alive, "sid").groupBy("task").applyInPandas(_joined, "a long, b long")
-    label = components(tasks, scratch, "links").select(F.col("node").alias("sid"), F.col("label").alias("component"))
+    label = components(cluster_links(members, alive, scratch), scratch, "links").select(F.col("node").alias("sid"), F.col("label").alias("component"))
     named = sets.select("d1", "d2", "sid").join(label, "sid", "left").select("d1", "d2", F.coalesce("component", "sid").alias("component"))
     out = each.join(named, ["d1", "d2"], "left").select("key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key")).alias("component"))
     if rows is None:
