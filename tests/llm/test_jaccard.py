@@ -62,34 +62,6 @@ def test_components_equal_brute_force(spark, monkeypatch):
     assert result(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
 
 
-def test_settled_clusters_are_not_compared_again(spark):
-    one = [(1, 3, i, 40, 7) for i in range(2000)]
-    sets = lambda rows: spark.createDataFrame(rows, "label long, level int, sid long, n int, known long")
-    assert J._unsettled(sets(one)).count() == 0
-    stray = [(1, 4, 5000, 50, 8), (1, 9, 6000, 500, 9)]
-    tasks = J._unsettled(sets(one + stray)).collect()
-    assert {r.task.count(":") for r in tasks} == {6} and {5000, 6000} < {r.sid for r in tasks}
-    met = {}
-    for r in tasks:
-        met.setdefault(r.task, set()).add(r.sid)
-    # the stray next to the group's level meets all of the group, the other one none of it
-    assert set().union(*(v for v in met.values() if 5000 in v)) == {*range(2000), 5000}
-    assert set().union(*(v for v in met.values() if 6000 in v)) == {6000}
-
-
-def test_near_copies_of_one_text(spark, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", 6)
-    rng = random.Random(5)
-    base = [f"w{rng.randrange(400)}" for _ in range(120)]
-    docs = []
-    for i in range(90):
-        w = list(base)
-        for _ in range(rng.choice([1, 1, 2, 4, 5, 6])):
-            w[rng.randrange(len(w))] = f"v{rng.randrange(9)}"
-        docs.append((i, " ".join(w[: rng.choice([120, 120, 100, 70])])))
-    assert result(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
-
-
 def test_odd_rows(spark):
     rows = [(4, "a b c d e f"), (4, "a b c d e f"), (None, "A b c d e f"), (None, None), (2, ""), (9, "x y")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as sid", "3 as n")
