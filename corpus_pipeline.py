@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes chunks of lines that stand earlier too; texts left without ink go."""
-    out = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    """Removes runs of two lines or more that stand earlier too; texts left without ink go."""
+    out = line_dedup.dedup_lines(docs.select(*COLUMNS), runs=True)
     kept = out.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast(docs.schema["n_chars"].dataType))
     return kept.where(F.col("n_removed").eqNullSafe(0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS)
 

@@ -7,6 +7,13 @@ stand in several places are candidates; every copy is compared byte by byte
 with the first one (smallest doc_id, then place), and equal ones are removed
 with their line ends. Chunks of one line, and of white space alone, always stay.
 
+Boundaries miss both ends of a passage whose surroundings differ, and passages
+between two boundaries. With runs, all pairs of adjoining lines outside the
+removed chunks are then compared in the same way, each with its first place in
+the whole table, so every line goes that lies in a run of two lines or more that
+stands earlier. Places that overlap in one text are no copies of each other: of a
+run of one repeated line the first two stay. Runs of white space alone stay.
+
 Nulls: a null text stays null, with no lines. Rows equal in doc_id and text
 are one document and keep the same lines. Null doc_ids come last. Other columns
 stay as they are. An empty table gives an empty result.
@@ -18,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import repeats as R
@@ -30,17 +37,24 @@ MEAN_LINES = 4
 LEAST_LINES = 2
 
 
-def chunks(data: np.ndarray, offs: np.ndarray):
-    """(text, first byte, end, lines) of each chunk, the line end included."""
+def _lines(data: np.ndarray, offs: np.ndarray):
+    """(text, first byte, end, first of its text) of each line, the line end included."""
     at = np.flatnonzero(data == 10)
     ends = np.concatenate([at + 1, offs[1:][np.diff(offs) > 0]])
     ends = np.unique(ends)  # a text that ends with \n has no empty last line
     text = np.searchsorted(offs, ends, "left") - 1
     if not len(ends):
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none, np.zeros(0, bool)
     first = np.r_[True, text[1:] != text[:-1]]
-    starts = np.where(first, offs[text], np.r_[0, ends[:-1]])
+    return text, np.where(first, offs[text], np.r_[0, ends[:-1]]), ends, first
+
+
+def chunks(data: np.ndarray, offs: np.ndarray):
+    """(text, first byte, end, lines) of each chunk, the line end included."""
+    text, starts, ends, first = _lines(data, offs)
+    if not len(ends):
+        return text, starts, ends, text
     bare = ends - (data[ends - 1] == 10)
     h = H.Rolling(H.BYTE_CODES[data]).spans(starts, np.maximum(bare, starts))
     before = np.where(first, H.U64(0), np.r_[H.U64(0), h[:-1]])
@@ -51,19 +65,41 @@ def chunks(data: np.ndarray, offs: np.ndarray):
     return text[begin], starts[begin], ends[stop], stop - begin + 1
 
 
-def _entries(batch: pa.RecordBatch) -> np.ndarray:
+def _whole_chunks(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray):
+    text, lo, hi, lines = chunks(data, offs)
+    ink = np.concatenate([[0], np.cumsum(~H.SPACE[data])])
+    fit = (lines >= LEAST_LINES) & (ink[hi] > ink[lo])
+    return text[fit], lo[fit], hi[fit]
+
+
+def _line_pairs(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray):
+    """Pairs of adjoining lines, but for those inside one of the spans: these
+    stand earlier, so they are not the first of their kind."""
+    text, starts, ends, first = _lines(data, offs)
+    inside = np.zeros(len(data), np.int64)
+    n = 0
+    for i, spans in enumerate(batch.column("spans").to_pylist()):
+        for s in spans or ():
+            n += 1
+            inside[offs[i] + s["lo"] : offs[i] + s["lo"] + s["n"]] = n
+    at = np.flatnonzero(~first[1:])
+    text, lo, hi = text[at], starts[at], ends[at + 1]
+    fit = (inside[lo] == 0) | (inside[lo] != inside[hi - 1])
+    return text[fit], lo[fit], hi[fit]
+
+
+def _entries(batch: pa.RecordBatch, cut) -> np.ndarray:
     keys = batch.column("key").to_numpy(zero_copy_only=False)
     data, offs = H.batch_bytes(batch.column("text"))
-    text, lo, hi, lines = chunks(data, offs)
+    text, lo, hi = cut(batch, data, offs)
     if not len(text):
         return np.empty(0, R.ENTRY)
     codes = H.BYTE_CODES[data]
     bare = hi - (data[hi - 1] == 10)  # the last line of a text may have no end
-    ink = np.concatenate([[0], np.cumsum(~H.SPACE[data])])
     e = np.empty(len(text), R.ENTRY)
     e["anchor"], e["check"] = H.Rolling(codes, H.BASES[0]).spans(lo, bare), H.Rolling(codes, H.BASES[1]).spans(lo, bare)
     e["key"], e["lo"], e["n"], e["flags"] = keys[text], lo - offs[text], hi - lo, 0
-    return e[(lines >= LEAST_LINES) & (ink[hi] > ink[lo])]
+    return e
 
 
 GROUPS = "kind int, bucket int, key long, lo int, n int, packed binary, gid long"
@@ -78,11 +114,11 @@ def _listed(kind: int, e: np.ndarray) -> pa.RecordBatch:
     return _with_group(R.table(kind, e["key"], e["lo"], e["n"]), e["anchor"] ^ (e["check"] << H.U64(1)))
 
 
-def _chunk_rows(buckets: int):
+def _chunk_rows(buckets: int, cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in R.pieces(big):
-                lead, hit = R.merged(_entries(batch), both=False)
+                lead, hit = R.merged(_entries(batch, cut), both=False)
                 if len(hit):
                     yield _listed(R.HIT, hit)
                 if len(lead):
@@ -105,25 +141,49 @@ def _chunk_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The chunks' own bytes, without a last line end."""
+    """The chunks' own bytes, without a last line end; copies that overlap the first one in its text are left out."""
     for b in batches:
         data, offs = H.batch_bytes(b.column("text"))
-        rows = [(s["kind"], s["gid"], k, s["lo"], s["n"], data[offs[i] + s["lo"] : offs[i] + s["lo"] + s["n"]].tobytes().removesuffix(b"\n")) for i, (k, spans) in enumerate(zip(b.column("key").to_pylist(), b.column("spans").to_pylist(), strict=True)) for s in spans]
+        rows = []
+        for i, (k, spans) in enumerate(zip(b.column("key").to_pylist(), b.column("spans").to_pylist(), strict=True)):
+            own = [(s["kind"], s["gid"], k, s["lo"], s["n"], data[offs[i] + s["lo"] : offs[i] + s["lo"] + s["n"]].tobytes().removesuffix(b"\n")) for s in spans]
+            ends = {(gid, chunk): lo + n for kind, gid, _, lo, n, chunk in own if kind == R.SPELL}
+            rows += [r for r in own if r[0] == R.SPELL or r[3] >= ends.get((r[1], r[5]), 0)]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["kind", "gid", "key", "lo", "n", "chunk"])
 
 
-def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """docs (key, text) → (key, lo, n): byte spans of chunks that stand earlier too."""
+def _repeated(docs: DataFrame, cut, scratch: Scratch, name: str) -> DataFrame:
+    """docs (key, text, …) → (key, lo, n): byte spans of what `cut` gives that stand earlier too."""
     parts = partitions_for(docs)
-    rows = docs.mapInArrow(_chunk_rows(parts), GROUPS).repartition(parts, "bucket").mapInArrow(_chunk_groups, GROUPS)
-    found = scratch.save(rows.select("kind", "gid", "key", "lo", "n"), "groups")
+    rows = docs.mapInArrow(_chunk_rows(parts, cut), GROUPS).repartition(parts, "bucket").mapInArrow(_chunk_groups, GROUPS)
+    found = scratch.save(rows.select("kind", "gid", "key", "lo", "n"), f"{name}-groups")
     spans = found.groupBy("key").agg(F.collect_list(F.struct("kind", "gid", "lo", "n")).alias("spans"))
-    each = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")
-    each = scratch.save(each, "chunks")
-    first = each.where(F.col("kind") == R.SPELL).groupBy("gid").agg(F.min("chunk").alias("own"))
-    same = each.where(F.col("kind") == R.HIT).join(first, "gid").where("chunk = own")
-    return scratch.save(same.select("key", "lo", "n").distinct(), "removed")
+    each = docs.select("key", "text").join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")
+    each = scratch.save(each, f"{name}-bytes")
+    same = each.where(F.col("kind") == R.HIT)
+    # all copies of a group are equal, unless hashes collide: then each content has a first place of its own
+    mixed = each.groupBy("gid").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a <> b").select("gid")
+    mixed = scratch.save(mixed, f"{name}-mixed")
+    if mixed.limit(1).count():
+        place = F.row_number().over(Window.partitionBy("gid", "chunk").orderBy("key", "lo"))
+        again = each.join(mixed, "gid", "left_semi").withColumn("place", place).where("place > 1")
+        same = same.join(mixed, "gid", "left_anti").select("key", "lo", "n").unionAll(again.select("key", "lo", "n"))
+    out = scratch.save(same.select("key", "lo", "n").distinct(), f"{name}-removed")
+    for part in ("groups", "bytes", "mixed"):
+        scratch.drop(f"{name}-{part}")
+    return out
+
+
+def repeated_chunks(docs: DataFrame, scratch: Scratch, runs: bool = False) -> DataFrame:
+    """docs (key, text) → (key, lo, n): byte spans of chunks that stand earlier
+    too and, with runs, of all pairs of lines that do."""
+    whole = _repeated(docs, _whole_chunks, scratch, "chunks")
+    if not runs:
+        return whole
+    spans = whole.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+    rest = docs.join(spans.hint("merge"), "key", "left").select("key", "text", "spans")
+    return whole.unionAll(_repeated(rest, _line_pairs, scratch, "pairs"))
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,22 +196,30 @@ def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = np.ones(len(own), bool)
             for s in spans or ():
                 keep[s["lo"] : s["lo"] + s["n"]] = False
+            edge = np.flatnonzero(np.diff(np.r_[True, keep, True].astype(np.int8)))
+            gone = 0
+            for lo, hi in edge.reshape(-1, 2):
+                if H.SPACE[own[lo:hi]].all():
+                    keep[lo:hi] = True
+                else:
+                    gone += 1
             ends = own == 10
             open_ = len(own) and not ends[-1]
             n_lines.append(int(ends.sum()) + int(open_))
             removed.append(int((ends & ~keep).sum()) + int(open_ and not keep[-1]))
-            n_chunks.append(len(spans or ()))
+            n_chunks.append(gone)
             text.append(None if null[i] else own[keep].tobytes().decode())
         made = {"n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_chunks": pa.array(n_chunks, pa.int64()), "kept": pa.array(text, pa.string())}
         yield pa.RecordBatch.from_arrays([b.column("key"), *made.values()], names=["key", *made])
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, runs: bool = False) -> DataFrame:
     """docs (doc_id, text, …) with n_lines, n_removed (lines), n_chunks
-    (removed) and the text that is left in `kept`; own columns of these names give way."""
+    (removed; adjoining ones are one) and the text that is left in `kept`; own columns of these names give way.
+    runs: all runs of lines that stand earlier go, not only whole chunks."""
     scratch = Scratch(docs.sparkSession, "lines")
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
-    removed = repeated_chunks(own, scratch)
+    removed = repeated_chunks(own, scratch, runs)
     names = {"n_lines", "n_removed", "n_chunks", "kept", "key", "spans"}
     spans = removed.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
     if rows is None:

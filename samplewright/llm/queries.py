@@ -44,7 +44,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
     return out.select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2("kept", 256).alias("kept_sha256"))
 
 
