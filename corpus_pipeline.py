@@ -4,8 +4,9 @@ benchmark decontamination, mixing to target weights.
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; all but the last return the columns of documents. Null texts go in the
 first stage (they have no language); rows equal in doc_id and text share
-their fate, except that near-duplicate removal keeps one of them. Empty tables
-pass through.
+their fate, except that near-duplicate removal keeps one of them. Rows that
+differ in one of the two are different documents, also where doc_id is null or
+repeated. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplewright.llm import decontam, jaccard, langid, line_dedup, mixing
-from samplewright.llm.sparkio import Scratch
+from samplewright.llm.sparkio import Scratch, keyed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,20 +34,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest doc_id."""
-    found = jaccard.jaccard_components(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    stays = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    if stays.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated ids: one row of each stays
-        stays = stays.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
-    return stays.select(*COLUMNS)
+    """One document of each component stays: the one with the smallest doc_id,
+    then text. Documents are told apart by doc_id and text."""
+    scratch = Scratch(spark, "near")
+    own, rows = keyed(docs.select("doc_id", "text"), scratch)
+    keep = jaccard.keyed_components(own, scratch).where("key = component").select("key")
+    if rows is None:
+        return docs.join(keep.withColumnRenamed("key", "_id"), F.col("doc_id").cast("long") == F.col("_id"), "left_semi").select(*COLUMNS)
+    pairs = own.withColumnRenamed("text", "_t").join(rows.distinct().withColumnRenamed("doc_id", "_i"), "key").join(keep, "key")
+    stays = docs.join(pairs, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("text").eqNullSafe(F.col("_t")), "left_semi")
+    # rows equal in both: one of them stays
+    return stays.groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*").select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of the benchmark."""
+    """Drops documents, told apart by doc_id and text, that hold a window of the benchmark."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = decontam.decontaminate(docs, bench).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+    bad = decontam.keyed_hits(docs, bench).where("contaminated").select("k1", "k2").distinct()
+    return decontam.with_key(docs).join(bad, ["k1", "k2"], "left_anti").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,9 +56,9 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(parts(text), lambda w: w != ""), lower)
 
 
-def _doc_key(docs: DataFrame) -> DataFrame:
-    """One key for rows equal in doc_id and text."""
-    return docs.select(F.xxhash64("doc_id", "text", F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), "text", "doc_id").alias("k2"), "doc_id", "text")
+def with_key(docs: DataFrame) -> DataFrame:
+    """docs with one key (k1, k2) for rows equal in doc_id and text."""
+    return docs.select(F.xxhash64("doc_id", "text", F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), "text", "doc_id").alias("k2"), *docs.columns)
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -95,7 +95,7 @@ def postings(docs: DataFrame, terms: DataFrame, rows: int, around: int) -> DataF
 
 def build(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, width: int = WINDOW):
     """(keyed documents, windows by item, windows with their two rarest terms, the stored index)."""
-    keyed = _doc_key(docs)
+    keyed = with_key(docs.select("doc_id", "text"))
     wins = scratch.save(windows(benchmark, width), "windows")
     terms = scratch.save(wins.select(F.explode("win").alias("term")).distinct(), "terms")
     n_terms = terms.count()
@@ -135,6 +135,11 @@ def proximity_matches(chosen: DataFrame, index: DataFrame, slop: int) -> DataFra
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """docs (doc_id, text, …), benchmark (item_id, text, …) → doc_id, n_words,
     n_hit, n_items, items_sha256, contaminated."""
+    return keyed_hits(docs, benchmark, width).drop("k1", "k2")
+
+
+def keyed_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """As decontaminate, with the key (k1, k2) of each row."""
     scratch = Scratch(docs.sparkSession, "decontam")
     _, wins, chosen, index = build(docs, benchmark, scratch, width)
     found = scratch.save(phrase_matches(chosen, index), "matches")
@@ -151,6 +156,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     out = counted.join(marks, ["k1", "k2"], "left")
     names = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
+        "k1",
+        "k2",
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -336,10 +336,8 @@ def blocked(members: DataFrame) -> DataFrame:
     return small.unionAll(large.join(sides, ["label", "level", "part"]).select("task", "side", "sid", "n"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, …) → doc_id, n_shingles, component_id."""
-    scratch = Scratch(docs.sparkSession, "jaccard")
-    own, rows = keyed(docs.select("doc_id", "text"), scratch)
+def keyed_components(own: DataFrame, scratch: Scratch) -> DataFrame:
+    """own (key, text), a row for each document → key, n_shingles, component (the smallest key in it)."""
     parts = partitions_for(own)
     found = own.mapInArrow(_prefix_rows(parts), SIZES).repartition(parts, "bucket").mapInArrow(_prefix_counts, SIZES)
     found = scratch.save(found.select("kind", "key", "n", "d1", "d2"), "prefixes")
@@ -360,7 +358,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     tasks = blocked(members).join(alive, "sid").groupBy("task").applyInPandas(_joined, "a long, b long")
     label = components(tasks, scratch, "links").select(F.col("node").alias("sid"), F.col("label").alias("component"))
     named = sets.select("d1", "d2", "sid").join(label, "sid", "left").select("d1", "d2", F.coalesce("component", "sid").alias("component"))
-    out = each.join(named, ["d1", "d2"], "left").select("key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key")).alias("component"))
+    return each.join(named, ["d1", "d2"], "left").select("key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key")).alias("component"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, …) → doc_id, n_shingles, component_id."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    own, rows = keyed(docs.select("doc_id", "text"), scratch)
+    out = keyed_components(own, scratch)
     if rows is None:
         return out.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
     names = rows.distinct().select(F.col("key").alias("component"), F.col("doc_id").alias("component_id"))
