@@ -164,17 +164,21 @@ def _compared(k: int):
         rows = []
         if len(base) and len(queries):
             c, ids = np.stack(base["embedding"]), base["vec_id"].to_numpy()
+            order = np.argsort(ids, kind="stable")
+            c, ids = c[order], ids[order]
+            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+            own = ids[first]
             for q, v in zip(queries["vec_id"], queries["embedding"], strict=True):
                 d = np.sqrt(((c - v) ** 2).sum(1))
-                other = np.flatnonzero(ids != q)
+                if len(own) < len(ids):  # an id counts once, at its smallest distance
+                    d = np.minimum.reduceat(d, first)
+                other = np.flatnonzero(own != q)
                 if not len(other):
                     continue
                 edge = np.partition(d[other], min(k, len(other)) - 1)[min(k, len(other)) - 1]
                 near = other[d[other] <= edge]
-                near = near[np.lexsort((ids[near], d[near]))]
-                near = near[np.unique(ids[near], return_index=True)[1]] if len(near) > k else near
-                near = near[np.lexsort((ids[near], d[near]))][:k]
-                rows += [(q, ids[i], d[i]) for i in near]
+                near = near[np.lexsort((own[near], d[near]))][:k]
+                rows += [(q, own[i], d[i]) for i in near]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return run
