@@ -43,5 +43,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components of {name} still change after {ROUNDS - 1} rounds")
     labels = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionAll(labels.select(F.col("label").alias("node"), "label").distinct())
