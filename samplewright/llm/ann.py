@@ -134,9 +134,10 @@ def learn(x: np.ndarray, parts: int = PARTS, k: int = 10):
     router = Router(fit, balanced_parts(graph, start, parts), parts)
     home = router.ranked(x)[:, 0]
     ask = rest[:500]
-    true = nearest(ask, x, k + 1)  # with itself, which any routing finds
+    true = nearest(ask, x, k + 1)
+    other = true != half + np.arange(len(ask))[:, None]  # any routing finds the query itself
     place = np.argsort(router.ranked(ask), 1)  # rank of each part for each query
-    needed = np.sort(place[np.arange(len(ask))[:, None], home[true]].ravel())
+    needed = np.sort(place[np.arange(len(ask))[:, None], home[true]][other])
     return router, int(needed[min(int(np.ceil(TARGET * len(needed))), len(needed) - 1)]) + 1
 
 
