@@ -40,12 +40,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def write_small(spark: SparkSession, path: str, text: str) -> None:
+def write_small(spark: SparkSession, path: str, text: str | bytes) -> None:
     """A small file, there as a whole or not at all."""
     fs, where = filesystem(spark, path)
     _, side = filesystem(spark, f"{path}.{uuid.uuid4().hex}")
     out = fs.create(side, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(text.encode() if isinstance(text, str) else text))
     out.close()
     fs.delete(where, False)
     if not fs.rename(side, where):

@@ -64,6 +64,14 @@ def load(df: DataFrame, part: str, spec: str, today: str) -> DataFrame:
     return df.where(col(part).isin(*wanted)) if wanted else df.limit(0)
 
 
+def newest(df: DataFrame, part: str, periods: int, unit: str = "day") -> DataFrame:
+    """Rows of the newest `periods` days or months that have any."""
+    period = F.substring(part, 3, 8 if unit == "day" else 6)
+    own = df.where(col(part) != "default").withColumn("_period", period)
+    last = own.select("_period").distinct().orderBy(F.desc("_period")).limit(periods)
+    return own.join(F.broadcast(last), "_period", "left_semi").drop("_period")  # a row for each period
+
+
 def exists(df: DataFrame, part: str, value: str) -> bool:
     return df.where(col(part) == value).limit(1).count() > 0
 

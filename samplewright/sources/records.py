@@ -1,45 +1,108 @@
 """Binary record formats as Spark data sources: `lpb` (little-endian int32
-length, then payload) and `tfrecord` (Example protobufs in checked frames).
-
-Files are read and written through Hadoop's binaryFile reader and plain
-streams of bytes, one file in memory at a time; gzip by file name.
+length, then payload), `tfrecord` (Example protobufs in checked frames) and
+`zip` (one entry a task; written only).
+
+Tasks open files through Arrow's filesystems, by the path's scheme (local or
+mounted paths, s3, gs, hdfs), and read them record by record; paths of other
+schemes are read through Spark's binaryFile. Small files are packed into
+tasks. A write goes to a folder of its own under `_temporary`, and the driver
+moves the files of the tasks that succeeded when all have; only then do
+earlier files go. gzip by file name.
 """
 
 from __future__ import annotations
 
-import gzip
-import os
+import io
 import struct
 import uuid
+import zipfile
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MOST_BYTES = 1 << 30
+#: Bytes of files that one task reads, and of records in one batch of rows.
+TASK_BYTES, BATCH_BYTES, BATCH_ROWS = 128 << 20, 8 << 20, 1000
+#: Schemes that Arrow opens itself.
+SCHEMES = ("file", "s3", "gs", "gcs", "hdfs")
 
 
-def frames(data: bytes, strict: bool = True) -> Iterator[bytes]:
-    """Payloads of a length-prefixed file. Length 0 ends it; a negative or
-    too large length, or a cut payload, is an error or, not strict, the end."""
+class BadRecord(ValueError):
+    pass
+
+
+def _exactly(file, n: int, at: int) -> bytes:
+    got = file.read(n)
+    if len(got) < n:
+        raise BadRecord(f"bad record at byte {at}")
+    return got
+
+
+def read_frames(file) -> Iterator[bytes]:
+    """Payloads of a length-prefixed file, one at a time. Length 0 ends it; a
+    negative or too large length, or a cut payload, is an error."""
     at = 0
-    while at < len(data):
-        if at + 4 > len(data):
-            n = -1
-        else:
-            (n,) = struct.unpack_from("<i", data, at)
+    while head := file.read(4):
+        n = struct.unpack("<i", head)[0] if len(head) == 4 else -1
         if n == 0:
             return
-        if n < 0 or n > MOST_BYTES or at + 4 + n > len(data):
-            if strict:
-                raise ValueError(f"bad record at byte {at}")
-            return
-        yield data[at + 4 : at + 4 + n]
+        if n < 0 or n > MOST_BYTES:
+            raise BadRecord(f"bad record at byte {at}")
+        yield _exactly(file, n, at)
         at += 4 + n
 
 
+def read_tf_frames(file) -> Iterator[bytes]:
+    """Payloads of a file of checked frames; checksums are compared some records at a time."""
+    at, held, size = 0, [], 0
+    while head := file.read(12):
+        if len(head) < 12 or masked_crc(head[:8]) != struct.unpack_from("<I", head, 8)[0] or struct.unpack_from("<Q", head)[0] > MOST_BYTES:
+            yield from _checked(held)
+            raise BadRecord(f"bad record at byte {at}")
+        (n,) = struct.unpack_from("<Q", head)
+        try:
+            body = _exactly(file, n + 4, at)
+        except BadRecord:
+            yield from _checked(held)
+            raise
+        held.append((at, body[:n], struct.unpack_from("<I", body, n)[0]))
+        at, size = at + 16 + n, size + n
+        if size > BATCH_BYTES or len(held) == BATCH_ROWS:
+            yield from _checked(held)
+            held, size = [], 0
+    yield from _checked(held)
+
+
+def _checked(held: list[tuple[int, bytes, int]]) -> Iterator[bytes]:
+    for (at, payload, crc), own in zip(held, masked_crcs([h[1] for h in held]), strict=True):
+        if crc != own:
+            raise BadRecord(f"bad record at byte {at}")
+        yield payload
+
+
+def frames(data: bytes, strict: bool = True) -> Iterator[bytes]:
+    """read_frames of bytes; not strict: a bad record ends them."""
+    return _until_bad(read_frames(io.BytesIO(data)), not strict)
+
+
+def tf_frames(data: bytes, strict: bool = True) -> Iterator[bytes]:
+    return _until_bad(read_tf_frames(io.BytesIO(data)), not strict)
+
+
+def _until_bad(records: Iterator[bytes], skip_bad: bool) -> Iterator[bytes]:
+    try:
+        yield from records
+    except BadRecord:
+        if not skip_bad:
+            raise
+
+
 def framed(payload: bytes) -> bytes:
     return struct.pack("<i", len(payload)) + payload
 
@@ -54,6 +117,14 @@ def _crc_table() -> list[int]:
 
 
 _CRC = _crc_table()
+_CRC_ARRAY = np.array(_CRC, np.uint32)
+#: From so many records on, their bytes are taken side by side.
+SIDE_BY_SIDE = 16
+
+
+def _masked(c: int) -> int:
+    c ^= 0xFFFFFFFF
+    return ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
 
 
 def masked_crc(data: bytes) -> int:
@@ -61,8 +132,29 @@ def masked_crc(data: bytes) -> int:
     c = 0xFFFFFFFF
     for b in data:
         c = c >> 8 ^ _CRC[(c ^ b) & 255]
-    c ^= 0xFFFFFFFF
-    return ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
+    return _masked(c)
+
+
+def masked_crcs(records: list[bytes]) -> list[int]:
+    """masked_crc of many records: the j-th bytes of all of them at a time, while enough are that long."""
+    order = sorted(range(len(records)), key=lambda i: -len(records[i]))
+    sizes = np.array([len(records[i]) for i in order], np.int64)
+    data = np.frombuffer(b"".join(records[i] for i in order), np.uint8)
+    first = np.cumsum(sizes) - sizes
+    c = np.full(len(order), 0xFFFFFFFF, np.uint32)
+    j, many = 0, np.count_nonzero(sizes > 0)
+    while many >= SIDE_BY_SIDE:
+        own = c[:many]
+        c[:many] = own >> np.uint32(8) ^ _CRC_ARRAY[(own ^ data[first[:many] + j]) & np.uint32(255)]
+        j += 1
+        many = np.searchsorted(-sizes, -j, "left")
+    out = [0] * len(order)
+    for k, i in enumerate(order):
+        v = int(c[k])
+        for b in records[i][j:]:
+            v = v >> 8 ^ _CRC[(v ^ b) & 255]
+        out[i] = _masked(v)
+    return out
 
 
 def tf_frame(payload: bytes) -> bytes:
@@ -70,24 +162,6 @@ def tf_frame(payload: bytes) -> bytes:
     return head + struct.pack("<I", masked_crc(head)) + payload + struct.pack("<I", masked_crc(payload))
 
 
-def tf_frames(data: bytes, strict: bool = True) -> Iterator[bytes]:
-    at = 0
-    while at < len(data):
-        good = at + 12 <= len(data)
-        if good:
-            (n,) = struct.unpack_from("<Q", data, at)
-            good = at + 16 + n <= len(data) and struct.unpack_from("<I", data, at + 8)[0] == masked_crc(data[at : at + 8])
-        if good:
-            payload = data[at + 12 : at + 12 + n]
-            good = struct.unpack_from("<I", data, at + 12 + n)[0] == masked_crc(payload)
-        if not good:
-            if strict:
-                raise ValueError(f"bad record at byte {at}")
-            return
-        yield payload
-        at += 16 + n
-
-
 def _varint(n: int) -> bytes:
     n &= (1 << 64) - 1
     out = bytearray()
@@ -173,108 +247,200 @@ def decode_example(data: bytes) -> dict[str, list]:
     return out
 
 
-def opened(path: str, data: bytes) -> bytes:
-    return gzip.decompress(data) if path.endswith(".gz") else data
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's filesystem for a path, and the path in it; the same in tasks and on the driver."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path)
 
 
-def read_lpb(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
-    """(path, record) of length-prefixed files on any filesystem; whole files are one task's unit."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+def _known(path: str) -> bool:
+    return "://" not in path or path.split("://", 1)[0] in SCHEMES
 
-    def run(batches):
-        for f in batches:
-            import pandas as pd
 
-            rows = [(p, r) for p, c in zip(f["path"], f["content"], strict=True) for r in frames(opened(p, c), strict)]
-            yield pd.DataFrame(rows, columns=["path", "record"])
+def listed(paths: list[str]) -> list[tuple[str, str, int]]:
+    """(path as given, path in its filesystem, size) of the files under paths, hidden ones left out."""
+    out = []
+    for p in paths:
+        fs, where = filesystem(p)
+        info = fs.get_file_info(where)
+        if info.type == pafs.FileType.NotFound:
+            raise FileNotFoundError(p)
+        found = fs.get_file_info(pafs.FileSelector(where, recursive=True)) if info.type == pafs.FileType.Directory else [info]
+        for f in found:
+            inner = f.path[len(where.rstrip("/")) :].split("/") if f.path != where else []
+            if f.type == pafs.FileType.File and not any(x.startswith(("_", ".")) for x in inner):
+                out.append((p, f.path, f.size))
+    return sorted(out)
+
+
+def packed(files: list[tuple[str, str, int]], task_bytes: int = TASK_BYTES) -> list[list[tuple[str, str]]]:
+    """Files in order, as many a task as task_bytes holds; a larger file is a task of its own."""
+    out, size = [[]], 0
+    for root, path, n in files:
+        if out[-1] and size + n > task_bytes:
+            out.append([])
+            size = 0
+        out[-1].append((root, path))
+        size += n
+    return out
 
-    return files.mapInPandas(run, "path string, record binary")
 
+def _rows(file, path: str, read, skip_bad: bool) -> Iterator[bytes]:
+    if path.endswith(".gz"):
+        file = pa.CompressedInputStream(file, "gzip")
+    return _until_bad(read(io.BufferedReader(_Raw(file), 1 << 20)), skip_bad)
 
-def read_tfrecord(spark: SparkSession, paths: list[str], schema: str | T.StructType, strict: bool = True) -> DataFrame:
-    """Examples as typed columns; absent features are null; scalars take the first value."""
-    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
 
-    def value(values: list | None, kind: T.DataType):
-        if not values:
-            return [] if isinstance(kind, T.ArrayType) and values is not None else None
-        inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
-        cast = {T.StringType: lambda v: v.decode() if isinstance(v, bytes) else str(v), T.BinaryType: bytes, T.FloatType: float, T.DoubleType: float}.get(type(inner), lambda v: int(v))
-        return [cast(v) for v in values] if isinstance(kind, T.ArrayType) else cast(values[0])
+class _Raw(io.RawIOBase):
+    """An Arrow stream as a plain one."""
 
-    def run(batches):
-        import pyarrow as pa
+    def __init__(self, file):
+        self.file = file
 
-        from pyspark.sql.pandas.types import to_arrow_schema
+    def readable(self) -> bool:
+        return True
 
-        target = to_arrow_schema(schema)
-        for b in batches:
-            rows = []
-            for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
-                for record in tf_frames(opened(p, c), strict):
-                    got = decode_example(record)
-                    rows.append({f.name: value(got.get(f.name), f.dataType) for f in schema.fields})
-            yield pa.RecordBatch.from_pylist(rows, schema=target)
+    def readinto(self, buffer) -> int:
+        got = self.file.read(len(buffer))
+        buffer[: len(got)] = got
+        return len(got)
 
-    return files.mapInArrow(run, schema)
+
+def _batches(rows: Iterator, make) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[1])
+        if size > BATCH_BYTES or len(held) == BATCH_ROWS:
+            yield make(held)
+            held, size = [], 0
+    if held:
+        yield make(held)
+
+
+def _scalar(kind: T.DataType):
+    return {T.StringType: lambda v: v.decode() if isinstance(v, bytes) else str(v), T.BinaryType: bytes, T.FloatType: float, T.DoubleType: float}.get(type(kind), lambda v: int(v))
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+def _value(values: list | None, kind: T.DataType):
+    if not values:
+        return [] if isinstance(kind, T.ArrayType) and values is not None else None
+    cast = _scalar(kind.elementType if isinstance(kind, T.ArrayType) else kind)
+    return [cast(v) for v in values] if isinstance(kind, T.ArrayType) else cast(values[0])
+
+
+def _raw_batch(schema: T.StructType):
+    target = to_arrow_schema(schema)
+    return lambda held: pa.RecordBatch.from_arrays([pa.array([p for p, _ in held], pa.string()), pa.array([r for _, r in held], pa.binary())], schema=target)
+
+
+def _example_batch(schema: T.StructType):
+    """Examples as typed columns; absent features are null; scalars take the first value."""
+    target = to_arrow_schema(schema)
+
+    def make(held) -> pa.RecordBatch:
+        got = [decode_example(r) for _, r in held]
+        return pa.RecordBatch.from_pylist([{f.name: _value(g.get(f.name), f.dataType) for f in schema.fields} for g in got], schema=target)
+
+    return make
+
+
+class _Files(InputPartition):
+    def __init__(self, files: list[tuple[str, str]]):
+        self.files = files
+
+
+def _flag(options: dict, name: str) -> bool:
+    return str(options.get(name, "false")).lower() == "true"
 
 
 class _Reader(DataSourceReader):
-    """Local and mounted files named by the option `paths`, a file a task."""
+    """Options: path, or paths (one a line); skip_bad (a bad record ends its
+    file), skip_errors (a file that can't be read is left out); mode PERMISSIVE
+    sets both; task_bytes."""
 
-    def __init__(self, options: dict):
-        listed = (options.get("paths") or options.get("path") or "").split("\n")
-        self.strict = options.get("mode", "FAILFAST").upper() == "FAILFAST"
-        self.files = []
-        for p in (x.removeprefix("file:") for x in listed if x):
-            self.files += [os.path.join(p, n) for n in sorted(os.listdir(p)) if not n.startswith(("_", "."))] if os.path.isdir(p) else [p]
+    def __init__(self, options: dict, schema: T.StructType, read, batch):
+        loose = options.get("mode", "FAILFAST").upper() != "FAILFAST"
+        self.skip_bad, self.skip_errors = loose or _flag(options, "skip_bad"), loose or _flag(options, "skip_errors")
+        self.schema, self.read_file, self.batch = schema, read, batch
+        self.paths = [p for p in (options.get("paths") or options.get("path") or "").split("\n") if p]
+        self.task_bytes = int(options.get("task_bytes", TASK_BYTES))
 
     def partitions(self):
-        return [_File(f) for f in self.files] or [_File("")]
+        return [_Files(f) for f in packed(listed(self.paths), self.task_bytes)]
+
+    def _records(self, files) -> Iterator[tuple[str, bytes]]:
+        for root, path in files:
+            try:
+                with filesystem(root)[0].open_input_stream(path, compression=None) as file:
+                    for r in _rows(file, path, self.read_file, self.skip_bad):
+                        yield path, r
+            except OSError:
+                if not self.skip_errors:
+                    raise
 
     def read(self, partition):
-        if partition.path:
-            with open(partition.path, "rb") as f:
-                for r in frames(opened(partition.path, f.read()), self.strict):
-                    yield partition.path, r
+        yield from _batches(self._records(partition.files), self.batch(self.schema))
 
 
 class _Written(WriterCommitMessage):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, name: str):
+        self.name = name
 
 
 class _Writer(DataSourceWriter):
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool, frame, suffix: str):
-        self.folder = options["path"].removeprefix("file:")
+        self.folder, self.overwrite = options["path"].rstrip("/"), overwrite
         self.zipped = options.get("compression", "none") == "gzip"
         self.schema, self.frame, self.suffix = schema, frame, suffix + (".gz" if self.zipped else "")
-        os.makedirs(self.folder, exist_ok=True)
-        if overwrite:
-            for n in os.listdir(self.folder):
-                os.unlink(os.path.join(self.folder, n))
+        self.job = uuid.uuid4().hex
+
+    def _side(self) -> tuple[pafs.FileSystem, str, str]:
+        fs, folder = filesystem(self.folder)
+        return fs, folder, f"{folder}/_temporary/{self.job}"
 
     def write(self, rows):
-        path = os.path.join(self.folder, f"part-{uuid.uuid4().hex}{self.suffix}")
-        with (gzip.open if self.zipped else open)(f"{path}.tmp", "wb") as out:
-            for r in rows:
-                out.write(self.frame(r, self.schema))
-        return _Written(path)
+        fs, _, side = self._side()
+        name = f"part-{uuid.uuid4().hex}{self.suffix}"
+        fs.create_dir(side, recursive=True)
+        with fs.open_output_stream(f"{side}/{name}", compression="gzip" if self.zipped else None) as out:
+            self.fill(out, rows, name)
+        return _Written(name)
+
+    def fill(self, out, rows, name: str) -> None:
+        for r in rows:
+            out.write(self.frame(r, self.schema))
 
     def commit(self, messages):
+        fs, folder, side = self._side()
+        fs.create_dir(folder, recursive=True)
+        before = [f.path for f in fs.get_file_info(pafs.FileSelector(folder)) if not f.path.endswith("/_temporary")] if self.overwrite else []
         for m in messages:
-            os.replace(f"{m.path}.tmp", m.path)
+            if m is not None:
+                fs.move(f"{side}/{m.name}", f"{folder}/{m.name}")
+        for path in before:
+            fs.delete_dir(path) if fs.get_file_info(path).type == pafs.FileType.Directory else fs.delete_file(path)
+        self._clean(fs, folder, side)
 
     def abort(self, messages):
-        for m in messages:
-            if m is not None and os.path.exists(f"{m.path}.tmp"):
-                os.unlink(f"{m.path}.tmp")
+        self._clean(*self._side())
+
+    def _clean(self, fs, folder: str, side: str) -> None:
+        if fs.get_file_info(side).type != pafs.FileType.NotFound:
+            fs.delete_dir(side)  # with what failed attempts left
+        top = f"{folder}/_temporary"
+        if fs.get_file_info(top).type != pafs.FileType.NotFound and not fs.get_file_info(pafs.FileSelector(top)):
+            fs.delete_dir(top)
+
+
+class _ZipWriter(_Writer):
+    def fill(self, out, rows, name: str) -> None:
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open(name.removesuffix(".zip"), "w", force_zip64=True) as entry:
+            for r in rows:
+                entry.write(self.frame(r, self.schema))
 
 
 def _lpb_frame(row, schema) -> bytes:
@@ -285,6 +451,10 @@ def _example_frame(row, schema) -> bytes:
     return tf_frame(encode_example(dict(zip([f.name for f in schema.fields], row, strict=True))))
 
 
+def _first_bytes(row, schema) -> bytes:
+    return bytes(row[0]) if isinstance(row[0], bytes | bytearray) else str(row[0]).encode()
+
+
 class LengthPrefixed(DataSource):
     @classmethod
     def name(cls):
@@ -294,31 +464,76 @@ class LengthPrefixed(DataSource):
         return "path string, record binary"
 
     def reader(self, schema):
-        return _Reader(self.options)
+        return _Reader(self.options, schema, read_frames, _raw_batch)
 
     def writer(self, schema, overwrite):
         return _Writer(self.options, schema, overwrite, _lpb_frame, ".pb")
 
 
 class Examples(DataSource):
+    """Reading needs a schema: .schema(...) names the features to take."""
+
     @classmethod
     def name(cls):
         return "tfrecord"
 
+    def schema(self):
+        raise ValueError("tfrecord files have no schema of their own: give one with .schema(...)")
+
+    def reader(self, schema):
+        return _Reader(self.options, schema, read_tf_frames, _example_batch)
+
     def writer(self, schema, overwrite):
         return _Writer(self.options, schema, overwrite, _example_frame, ".tfrecord")
 
 
+class Zipped(DataSource):
+    @classmethod
+    def name(cls):
+        return "zip"
+
+    def writer(self, schema, overwrite):
+        return _ZipWriter(self.options, schema, overwrite, _first_bytes, ".zip")
+
+
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(LengthPrefixed)
-    spark.dataSource.register(Examples)
+    for source in (LengthPrefixed, Examples, Zipped):
+        spark.dataSource.register(source)
+
+
+def _read(spark: SparkSession, paths: list[str], kind: str, schema: T.StructType, strict: bool, read, batch) -> DataFrame:
+    register(spark)
+    if all(_known(p) for p in paths):
+        return spark.read.format(kind).schema(schema).option("paths", "\n".join(paths)).option("mode", "FAILFAST" if strict else "PERMISSIVE").load()
+    files = spark.read.format("binaryFile").load(paths).where("length > 0").select("path", "content")
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                path, content = b.column("path")[i].as_py(), b.column("content")[i].as_buffer()
+                yield from _batches(((path, r) for r in _rows(pa.BufferReader(content), path, read, not strict)), batch(schema))
+
+    return files.mapInArrow(run, schema)
+
+
+def read_lpb(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
+    """(path, record) of length-prefixed files. Not strict: a bad record ends its file, unreadable files are left out."""
+    return _read(spark, paths, "lpb", T._parse_datatype_string("path string, record binary"), strict, read_frames, _raw_batch)
+
+
+def read_tfrecord(spark: SparkSession, paths: list[str], schema: str | T.StructType, strict: bool = True) -> DataFrame:
+    """Examples as typed columns."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    return _read(spark, paths, "tfrecord", schema, strict, read_tf_frames, _example_batch)
 
 
 def write_records(df: DataFrame, path: str, kind: str, mode: str = "overwrite", compression: str = "none") -> None:
-    """lpb: the last column's bytes; tfrecord: all columns. mode `ignore` leaves a folder that has files."""
+    """lpb: the last column's bytes; tfrecord: all columns; zip: the first
+    column's bytes, one entry a task. mode `ignore` leaves a folder that has files."""
+    register(df.sparkSession)
     if mode == "ignore":
-        local = path.removeprefix("file:")
-        if os.path.isdir(local) and os.listdir(local):
+        fs, where = filesystem(path)
+        if fs.get_file_info(where).type != pafs.FileType.NotFound and listed([path]):
             return
         mode = "append"
     df.write.format(kind).mode(mode).option("compression", compression).save(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import filesystem
+from ..scratch import Scratch, filesystem
 
 SMALL, FEW_FILES, MANY_FILES = 10_000_000, 50, 300
 
@@ -20,21 +22,22 @@ def save(df: DataFrame, path: str, kind: str = "text", mode: str = "overwrite",
     elif kind == "parquet":
         df.write.mode(mode).parquet(path)
     elif kind in ("tfrecord", "lpb"):
-        from .records import register, write_records
+        from .records import write_records
 
-        register(df.sparkSession)
         write_records(df, path, kind, mode)
     else:
         raise ValueError(f"unknown kind {kind!r}")
 
 
 def save_splits(df: DataFrame, root: str, when: str, kinds: list[str], split: str = "split") -> list[str]:
-    """{root}{when}{split}_{kind} for each of the splits train, val and test."""
+    """{root}{when}{split}_{kind} for each of the splits train, val and test.
+    The rows are written once by split, so what they come from is read once."""
+    stored = Scratch(df.sparkSession, "splits").save(df, "rows")
     paths = []
     for kind in kinds:
         for name in ("train", "val", "test"):
             paths.append(f"{root}{when}{name}_{kind}")
-            save(df.where(F.col(split) == name).drop(split), paths[-1], kind)
+            save(stored.where(F.col(split) == name).drop(split), paths[-1], kind)
     return paths
 
 
@@ -59,14 +62,22 @@ def mark_done(spark, path: str, done: bool = True) -> None:
         fs.delete(where, False)
 
 
-def save_zip(df: DataFrame, folder: str) -> None:
-    """One zip with one entry for each partition: the records of the first
-    column, one after another. The folder must be one that all executors share."""
+def save_zip(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
+    """One zip with one entry for each partition: the records of the first column, one after another."""
+    from .records import write_records
 
-    def write(index: int, rows):
-        with zipfile.ZipFile(f"{folder}/part-{index:05d}.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open(f"part-{index:05d}", "w", force_zip64=True) as out:
-            for r in rows:
-                out.write(r[0] if isinstance(r[0], bytes | bytearray) else str(r[0]).encode())
-        yield index
+    write_records(df, folder, "zip", mode)
 
-    df.rdd.mapPartitionsWithIndex(write).count()
+
+def load_zip(spark, folder: str) -> DataFrame:
+    """(name string, content binary) of the entries of all zips in a folder, on any filesystem."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("content")
+
+    def run(batches):
+        for b in batches:
+            for c in b.column("content"):
+                with zipfile.ZipFile(io.BytesIO(c.as_py())) as z:
+                    entries = [(n, z.read(n)) for n in z.namelist()]
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in entries], pa.string()), pa.array([x for _, x in entries], pa.binary())], names=["name", "content"])
+
+    return files.mapInArrow(run, "name string, content binary")

@@ -8,11 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.times import days_between
-
-
-def filesystem(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+from ..scratch import filesystem, read_small
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -52,24 +48,32 @@ def load_text(spark: SparkSession, paths: list[str], fields: list[str], delimite
     return spark.read.schema(schema).option("sep", delimiter).csv(found)
 
 
-def load(spark: SparkSession, kind: str, paths: list[str], allow_missing: bool = True) -> DataFrame:
+def load(spark: SparkSession, kind: str, paths: list[str], allow_missing: bool = True, schema: str | T.StructType | None = None, strict: bool = True) -> DataFrame:
     """text: (value string); whole: (path, content) of non-empty files; records:
-    length-prefixed records; tfrecord: examples; sequence: (key, value) of a sequence file; parquet."""
+    (path, record) of length-prefixed files; tfrecord: examples by `schema`;
+    sequence: (key, value) of sequence files; parquet (by `schema`, where nothing is there)."""
     found = present(spark, paths, required=not allow_missing)
+    empty = {"text": "value string", "whole": "path string, content binary", "records": "path string, record binary", "sequence": "key string, value string"}
+    if kind not in {*empty, "tfrecord", "parquet"}:
+        raise ValueError(f"unknown kind {kind!r}")
+    if kind == "tfrecord" and schema is None:
+        raise ValueError("tfrecord needs a schema")
+    if not found:
+        shape = empty.get(kind, schema)
+        if shape is None:
+            raise FileNotFoundError(f"none of {paths} is there, and no schema says what an empty table would hold")
+        return spark.createDataFrame([], shape)
     if kind == "text":
-        return spark.read.text(found) if found else spark.createDataFrame([], "value string")
+        return spark.read.text(found)
     if kind == "whole":
         return spark.read.format("binaryFile").load(found).where("length > 0").select("path", "content")
-    if kind == "records":
-        from .records import register
+    if kind in ("records", "tfrecord"):
+        from .records import read_lpb, read_tfrecord
 
-        register(spark)
-        return spark.read.format("lpb").option("paths", "\n".join(found)).load()
+        return read_lpb(spark, found, strict) if kind == "records" else read_tfrecord(spark, found, schema, strict)
     if kind == "sequence":
         return spark.createDataFrame(spark.sparkContext.union([spark.sparkContext.sequenceFile(p) for p in found]).map(lambda r: (str(r[0]), str(r[1]))), "key string, value string")
-    if kind == "parquet":
-        return spark.read.parquet(*found)
-    raise ValueError(f"unknown kind {kind!r}")
+    return spark.read.parquet(*found)
 
 
 def wait_ready(spark: SparkSession, glob: str, count: int, timeout_s: float, every_s: float = 10.0) -> bool:
@@ -87,4 +91,4 @@ def wait_ready(spark: SparkSession, glob: str, count: int, timeout_s: float, eve
 
 def read_config(spark: SparkSession, path: str) -> str:
     """A small file's text, from any filesystem that Spark reads."""
-    return spark.read.text(path, wholetext=True).head()[0]
+    return read_small(spark, path)

@@ -114,3 +114,73 @@ def test_array_functions_used_by_sources(spark):
     assert partitions.keyed(spark.range(1).withColumn("v", F.lit(2)), "id", ["v"]).head().values == ["2"]
     with pytest.raises(ValueError):
         partitions.keyed(spark.range(1), "id", ["nope"])
+
+
+def test_writes_replace_at_commit_and_leave_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "o")
+    df = spark.createDataFrame([(b"a",), (b"b",)], "record binary")
+    records.write_records(df, path, "lpb")
+    kept = sorted(p.name for p in (tmp_path / "o").iterdir())
+    broken = df.select(F.udf(lambda r: 1 / 0, "binary")("record").alias("record"))
+    with pytest.raises(Exception, match="division by zero"):
+        records.write_records(broken, path, "lpb")
+    assert sorted(p.name for p in (tmp_path / "o").iterdir()) == kept
+    records.write_records(df.limit(1), path, "lpb")
+    assert records.read_lpb(spark, [path]).count() == 1 and not (tmp_path / "o" / "_temporary").exists()
+
+
+def test_skip_policies_and_packing(spark, tmp_path):
+    (tmp_path / "a.pb").write_bytes(records.framed(b"x") + struct.pack("<i", -5))
+    (tmp_path / "b.pb.gz").write_bytes(b"no gzip")
+    (tmp_path / "c.pb").write_bytes(records.framed(b"y"))
+    records.register(spark)
+    read = lambda **o: sorted(bytes(r.record) for r in spark.read.format("lpb").options(**o).load(str(tmp_path)).collect())
+    assert read(skip_bad="true", skip_errors="true") == read(mode="PERMISSIVE") == [b"x", b"y"]
+    for only in ({"skip_bad": "true"}, {"skip_errors": "true"}):
+        with pytest.raises(Exception, match="bad record|gzip|zlib"):
+            read(**only)
+    files = [("r", f"f{i}", n) for i, n in enumerate((5, 5, 50, 1, 1))]
+    assert [[p for _, p in f] for f in records.packed(files, 10)] == [["f0", "f1"], ["f2"], ["f3", "f4"]]
+
+
+def test_checksums_side_by_side(spark):
+    import random
+
+    rng = random.Random(3)
+    held = [rng.randbytes(rng.choice([0, 1, 7, 300])) for _ in range(100)] + [b"123456789"]
+    assert records.masked_crcs(held) == [records.masked_crc(h) for h in held] and records.masked_crcs([]) == []
+    frame = records.tf_frame(b"abc")
+    assert list(records.tf_frames(frame + frame)) == [b"abc", b"abc"]
+    for bad in (frame[:-1], frame[:-1] + b"?", b"zz" + frame):
+        assert list(records.tf_frames(frame + bad, strict=False)) == [b"abc"]
+        with pytest.raises(ValueError):
+            list(records.tf_frames(frame + bad))
+
+
+def test_loads_by_kind(spark, tmp_path):
+    sinks.save(spark.range(3), str(tmp_path / "t"), "tfrecord")
+    assert text.load(spark, "tfrecord", [str(tmp_path / "t")], schema="id long").count() == 3
+    with pytest.raises(ValueError):
+        text.load(spark, "tfrecord", [str(tmp_path / "t")])
+    for kind in ("sequence", "records", "whole", "text"):
+        assert text.load(spark, kind, [str(tmp_path / "no")]).count() == 0
+    assert text.load(spark, "parquet", [str(tmp_path / "no")], schema="a int").count() == 0
+    with pytest.raises(FileNotFoundError):
+        text.load(spark, "parquet", [str(tmp_path / "no")])
+
+
+def test_newest_periods(spark):
+    df = spark.createDataFrame([("p_20240131",), ("p_20240201",), ("p_20240215",), ("p_20231230",), ("default",)], "part string")
+    assert sorted(r.part for r in partitions.newest(df, "part", 2, "month").collect()) == ["p_20240131", "p_20240201", "p_20240215"]
+    assert sorted(r.part for r in partitions.newest(df, "part", 1).collect()) == ["p_20240215"]
+
+
+def test_session_settings_stay(spark):
+    from samplewright.scratch import ARROW, Scratch, numbered
+
+    before = spark.conf.get(ARROW)
+    scratch = Scratch(spark, "t")
+    assert scratch.save(spark.range(5), "x").count() == 5 and spark.conf.get(ARROW) == before
+    got = numbered(spark.range(1000).repartition(7), [F.desc("id")], "n", 5).collect()
+    assert {r.n: r.id for r in got} == {i + 5: 999 - i for i in range(1000)}
+    assert numbered(spark.range(0), ["id"]).count() == 0
