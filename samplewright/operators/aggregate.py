@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING, col, multi_values
+from ..scratch import Scratch
 
 #: Sections that prefix sums of one group are cut into.
 SECTIONS = 64
@@ -22,6 +23,11 @@ def distribution(df: DataFrame, columns: list[str], kind: str = "float") -> Data
     return long.where("v is not null and v <> 0").groupBy("feature", "v").agg(F.count("*").alias("c"))
 
 
+def stored(dist: DataFrame) -> DataFrame:
+    """A distribution that several sums are taken of: written once, so what it comes from is read once."""
+    return Scratch(dist.sparkSession, "distribution").save(dist, "values")
+
+
 def extremes(dist: DataFrame) -> DataFrame:
     return dist.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"), F.count("*").alias("n_distinct"))
 

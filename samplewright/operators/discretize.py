@@ -53,13 +53,13 @@ def learn(df: DataFrame, columns: list[str], num: int = 10, method: str = "equi_
     strings = [c for c in columns if df.schema[c].dataType.simpleString() == "string"]
     df = df.select(*[col(c).try_cast("float").alias(c) if c in strings else col(c).cast("float").alias(c) for c in columns])
     dist = A.distribution(df, columns)
-    return METHODS[method](dist.where("v > 0") if positive_only else dist, num)
+    return METHODS[method](A.stored(dist.where("v > 0") if positive_only else dist), num)
 
 
 def adaptive_bins(df: DataFrame, columns: list[str], num: int, few: int = 4) -> DataFrame:
     """Equal counts in num bins, or in `few` for columns of fewer different values; blank counts as 0 and stays."""
     filled = df.select(*[F.coalesce(col(c).try_cast("float"), F.lit(0).cast("float")).alias(c) for c in columns])
-    dist = A.melt(filled, [], columns, "feature", "v", "float").groupBy("feature", "v").agg(F.count("*").alias("c"))
+    dist = A.stored(A.melt(filled, [], columns, "feature", "v", "float").groupBy("feature", "v").agg(F.count("*").alias("c")))
     small = A.extremes(dist).where(F.col("n_distinct") < num).select("feature")
     return equi_freq(dist.join(small, "feature", "left_anti"), num).unionByName(equi_freq(dist.join(small, "feature", "left_semi"), few))
 

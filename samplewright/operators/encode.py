@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMPTY_LIBSVM, MISSING, col, cross, multi_values
+from ..scratch import Scratch, numbered
 from . import aggregate as A
 from .join import lookup, unseen
 
@@ -13,15 +14,12 @@ FEW, LEAST = 5000, 1000
 DICTIONARY = "field string, value string, idx long"
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "idx", start: int = 0) -> DataFrame:
-    """Rows numbered in the order of `order`, from `start`: sorted by ranges,
-    counted by range, and numbered within ranges, so no task holds all rows."""
-    spark, schema = df.sparkSession, f"{name} long"
-    ordered = df.orderBy(*order)
-    from pyspark.sql import types as T
-
-    fields = T.StructType([*df.schema.fields, *T._parse_datatype_string(schema).fields])
-    return spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + start)), fields)
+def ranked(df: DataFrame, group: str, order: list, name: str) -> DataFrame:
+    """Rows numbered from 0 within their group, by one sort of all rows by
+    ranges: a group that holds most rows is still many tasks."""
+    rows = Scratch(df.sparkSession, "ranked").save(numbered(df, [group, *order], "_at"), "rows")
+    first = rows.groupBy(group).agg(F.min("_at").alias("_first"))
+    return rows.join(first, group).withColumn(name, F.col("_at") - F.col("_first")).drop("_at", "_first")
 
 
 def melt_values(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -51,8 +49,7 @@ def feature_index(df: DataFrame, fields: list[str], few: int = FEW, least: int =
     known = [f for f in fields if f in df.columns]
     long = A.melt(df, [], known, "field", "_m", "string").where(F.coalesce(F.col("_m"), F.lit(MISSING)) != MISSING)
     each = long.select("field", F.explode(multi_values("_m")).alias("value")).groupBy("field", "value").agg(F.count("*").alias("cnt"))
-    rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("cnt"), "value")) - 1
-    return each.where(F.col("cnt") > max(few, least)).withColumn("rank", rank.cast("long"))
+    return ranked(each.where(F.col("cnt") > max(few, least)), "field", [F.desc("cnt"), "value"], "rank").select("field", "value", "cnt", "rank")
 
 
 def vocabulary(counts: DataFrame, known: DataFrame | None = None, least: int = 10_000, most: int = 10_000_000) -> DataFrame:
@@ -64,8 +61,8 @@ def vocabulary(counts: DataFrame, known: DataFrame | None = None, least: int = 1
     top = old.groupBy("field").agg(F.max("_old").alias("_top"))
     marked = counts.join(old, ["field", "token"], "left")
     fresh = marked.where(F.col("_old").isNull() & F.col("cnt").between(least, most))
-    rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("cnt"), "token")).cast("long")
-    fresh = fresh.join(top, "field", "left").select("field", "token", "cnt", (F.coalesce("_top", F.lit(-1)) + rank).alias("idx"))
+    fresh = ranked(fresh.select("field", "token", "cnt"), "field", [F.desc("cnt"), "token"], "_rank")
+    fresh = fresh.join(top, "field", "left").select("field", "token", "cnt", (F.coalesce("_top", F.lit(-1)) + 1 + F.col("_rank")).alias("idx"))
     return marked.where("_old is not null").select("field", "token", "cnt", F.col("_old").alias("idx")).unionByName(fresh)
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, legal_id
+from ..functions.columns import col, hash_share, legal_id
+from ..scratch import numbered
 
 PARTNERS = 100
 
@@ -38,6 +39,22 @@ def feature_collect(action: DataFrame, tables: list[FeatureTable], keep: list[st
     return action.select(*[col(c) for c in keep]) if keep else action
 
 
+def mapping_registry(spark: SparkSession, items: list[dict], read=None) -> dict[str, DataFrame]:
+    """Id-mapping tables by their id, from entries {id, input}; entries without
+    an id or input are left out, a repeated id is an error. read: how an input
+    becomes a frame (parquet by default)."""
+    read = read or spark.read.parquet
+    out: dict[str, DataFrame] = {}
+    for item in items:
+        name, source = (str(item.get(k) or "").strip() for k in ("id", "input"))
+        if not name or not source:
+            continue
+        if name in out:
+            raise ValueError(f"two id mappings are named {name}")
+        out[name] = read(source)
+    return out
+
+
 def pairs(mapping: DataFrame, from_id: str, to_id: str) -> DataFrame:
     """Legal pairs as strings."""
     return mapping.select(col(from_id).cast("string").alias("from_id"), col(to_id).cast("string").alias("to_id")).where(legal_id("from_id") & legal_id("to_id"))
@@ -83,20 +100,16 @@ def with_field_rate(counts: DataFrame, field: str = "field", count: str = "cnt")
 
 
 def shuffle_column(df: DataFrame, column: str, name: str, order: list[str], seed: int = 36) -> DataFrame:
-    """A column that holds another one's values in a random order. Rows are
-    numbered by two distributed sorts; nothing gathers in one task."""
-    numbered = lambda frame, key: frame.sparkSession.createDataFrame(frame.orderBy(*key).rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), T_with_index(frame))
-    left = numbered(df, order)
-    right = numbered(df.select(col(column).alias(name)), [F.xxhash64(col(name), F.lit(seed)), F.rand(seed)])
+    """A column that holds another one's values in a random order, by a hash of
+    the row's `order` columns, the same on any run. Rows are numbered by two
+    distributed sorts; nothing gathers in one task."""
+    left = numbered(df, order, "_index")
+    mixed = df.select(col(column).alias(name), *[col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    keys = [f"_o{i}" for i in range(len(order))]
+    right = numbered(mixed, [hash_share(*keys, seed=seed), *keys], "_index").select("_index", col(name))
     return left.join(right, "_index").drop("_index")
 
 
-def T_with_index(frame: DataFrame):
-    from pyspark.sql import types as T
-
-    return T.StructType([*frame.schema.fields, T.StructField("_index", T.LongType())])
-
-
 def latest(df: DataFrame, key: list[str], order: str) -> DataFrame:
     """The newest row of each key."""
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(col(order).desc()))

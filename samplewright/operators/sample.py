@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col, hash_share
 from . import aggregate as A
@@ -12,7 +13,15 @@ SEED = 36
 
 
 def by_group(df: DataFrame, key: str, fractions: dict, seed: int = SEED) -> DataFrame:
-    return df.stat.sampleBy(key, fractions, seed)
+    """Of each value of the key a share of the rows, chosen by a hash of the whole row, so
+    any run keeps the same; values without a fraction go."""
+    rates = df.sparkSession.createDataFrame([(k, float(f)) for k, f in fractions.items()], T.StructType([df.schema[key], T.StructField("_rate", T.DoubleType())]))
+    return _kept(df, rates.withColumnRenamed(key, "_k").withColumnRenamed("_rate", "fraction"), key, seed)
+
+
+def _kept(df: DataFrame, rate: DataFrame, key: str, seed: int) -> DataFrame:
+    own = df.withColumn("_share", hash_share(*df.columns, seed=seed))
+    return own.join(rate, col(key).eqNullSafe(F.col("_k"))).where(F.col("_share") < F.col("fraction")).drop("_k", "fraction", "_share")
 
 
 def fractions(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -21,9 +30,9 @@ def fractions(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def by_num(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
-    """About n rows of each value of the key. Fractions join as a table: any number of values."""
-    rate = fractions(df, key, n).select(F.col("label").alias("_k"), "fraction")
-    return df.join(rate, col(key).eqNullSafe(F.col("_k"))).where(F.rand(seed) < F.col("fraction")).drop("_k", "fraction")
+    """About n rows of each value of the key, chosen by a hash of the whole row.
+    Fractions join as a table: any number of values."""
+    return _kept(df, fractions(df, key, n).select(F.col("label").alias("_k"), "fraction"), key, seed)
 
 
 def by_field(df: DataFrame, key: str, value, times: float, seed: int = SEED) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from bisect import bisect_left
 
+import pytest
 from pyspark.sql import functions as F
 
 from samplewright.functions import columns as C
@@ -162,3 +163,33 @@ def test_projection_helpers(spark):
 def test_shuffled_column_is_a_permutation(spark):
     out = J.shuffle_column(spark.range(200).withColumn("v", F.col("id") * 2), "v", "w", ["id"]).collect()
     assert sorted(r.w for r in out) == sorted(r.v for r in out) and [r.w for r in out] != [r.v for r in out]
+
+
+def test_samples_are_the_same_however_rows_lie(spark):
+    rows = spark.createDataFrame([(f"w{i}", "f", [j % 7 + i % 3 for j in range(6)]) for i in range(40)], "wuid string, fieldname string, tags array<long>")
+    vocab = spark.createDataFrame([("f", i, 10 * i + 1) for i in range(12)], "field string, idx long, cnt long")
+    shown = lambda df: sorted(map(str, df.collect()))
+    for f in (lambda r: P.positives(r), lambda r: P.negatives(P.positives(r), vocab), lambda r: P.pair_samples(r, vocab)):
+        assert shown(f(rows)) == shown(f(rows.repartition(5)))
+    for r in P.negatives(P.positives(rows), vocab).collect():
+        assert not set(r.select_tag) & set(r.tags) and len(set(r.select_tag)) == len(r.select_tag) <= 4
+    # a small field is drawn from in full: 12 tags, at most 7 of them the row's own
+    per = P.negatives(P.positives(rows), vocab).groupBy("wuid", F.array_join(F.col("sample_tags").cast("array<string>"), ",")).agg(F.sum(F.size("select_tag")).alias("n"), F.max(F.size("tags")).alias("t")).collect()
+    assert all(r.n == min(8, 12 - r.t) for r in per)
+    pairs = P.pair_samples(rows, vocab).collect()
+    tags = {r.wuid: set(r.tags) for r in rows.collect()}
+    assert all((r.context in tags[r.wuid]) == (r.label == 1) and r.tag in tags[r.wuid] for r in pairs) and {r.label for r in pairs} == {0, 1}
+
+
+def test_mapping_registry(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "m"))
+    got = J.mapping_registry(spark, [{"id": "a", "input": str(tmp_path / "m")}, {"id": "", "input": "x"}, {"id": "b", "input": ""}])
+    assert list(got) == ["a"] and got["a"].count() == 2
+    with pytest.raises(ValueError):
+        J.mapping_registry(spark, [{"id": "a", "input": str(tmp_path / "m")}] * 2)
+
+
+def test_sampling_by_group(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(2000)] + [(-1, None)], "i long, k string")
+    kept = sample.by_group(df, "k", {"a": 0.25, None: 1.0}).collect()
+    assert 180 < sum(r.k == "a" for r in kept) < 320 and sum(r.k is None for r in kept) == 1 and not any(r.k == "b" for r in kept)
