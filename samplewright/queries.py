@@ -1,7 +1,7 @@
 """Registered queries of the sample-preparation operators, and their SQL.
 
 Every entry reads whole tables. SQL is what another engine runs for the same
-rows; operators that draw at random have none and are tested by invariants.
+rows. Operators that draw do so by hashes of their rows, so SQL can draw the same.
 """
 
 from __future__ import annotations
@@ -46,11 +46,12 @@ def melt_sql(source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x FROM {source}" for c in columns)
 
 
-def bounds_sql(long: str, n: int, name: str = "b", positive: bool = False) -> str:
-    """CTEs that end in {name}(feature, b)."""
+def bounds_sql(long: str, n: int, name: str = "b", positive: bool = False, zero: bool = False) -> str:
+    """CTEs that end in {name}(feature, b); zero: zeros count too."""
     p = name
+    fit = "IS NOT NULL" if zero else "> 0" if positive else "<> 0"
     return f"""
-{p}_d AS (SELECT feature, CAST(x AS FLOAT) v, count(*) c FROM ({long}) WHERE CAST(x AS FLOAT) {'>' if positive else '<>'} 0 GROUP BY ALL),
+{p}_d AS (SELECT feature, CAST(x AS FLOAT) v, count(*) c FROM ({long}) WHERE CAST(x AS FLOAT) {fit} GROUP BY ALL),
 {p}_w AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY v) i, sum(c) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING) cum, sum(c) OVER (PARTITION BY feature) tot FROM {p}_d),
 {p}_f AS (SELECT *, CASE WHEN tot < {n} THEN {n - 1} ELSE least({n - 1}, cum // (tot // {n})) END f FROM {p}_w),
 {p}_k AS (SELECT *, i + least(0, min(f - i) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)) k FROM {p}_f),
@@ -172,14 +173,9 @@ d AS (SELECT feature, count(DISTINCT v) n FROM (SELECT 'c2' feature, CAST(c2 AS
 SELECT feature, CAST(n AS BIGINT) AS n_distinct, CAST(CASE WHEN n < 20 THEN 4 ELSE 20 END AS BIGINT) AS bins FROM d""")
 def adaptive_bin_counts(spark, sf_dir):
     t = table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("c0"), F.col("l_returnflag").alias("c1"), F.col("l_quantity").alias("c2"), F.col("l_discount").alias("c3")).distinct()
-    dist = A.melt(t, [], ["c2", "c3"], "feature", "v", "float").groupBy("feature", "v").agg(F.count("*").alias("c"))
-    return A.extremes(dist).select("feature", "n_distinct", F.when(F.col("n_distinct") < 20, 4).otherwise(20).cast("long").alias("bins"))
-
-
-@query()
-def column_index_driver(spark, sf_dir):
-    t = table(spark, sf_dir, "lineitem").select(F.concat_ws(",", "l_linestatus", "l_returnflag", F.col("l_quantity").cast("string"), F.col("l_tax").cast("string")).alias("value"))
-    return D.column_index_driver(t, 4, 0, [1], [2, 3], 10)
+    made = D.adaptive_bins(t, ["c2", "c3"], 20).select("feature", (F.size("boundaries") + 1).cast("long").alias("bins"))
+    counts = A.extremes(A.melt(t, [], ["c2", "c3"], "feature", "v", "float").groupBy("feature", "v").agg(F.count("*").alias("c")))
+    return counts.join(made, "feature").select("feature", "n_distinct", "bins")
 
 
 VALUES = "SELECT 'p_brand' AS field, p_brand AS value FROM part UNION SELECT 'p_type', p_type FROM part"
@@ -309,12 +305,6 @@ def experiment_split(spark, sf_dir):
     return sample.experiments(t, "o_orderkey", "o_orderpriority", [{"name": "urgent", "positive": ["1-URGENT"], "negative": ["5-LOW"]}]).drop("o_orderpriority")
 
 
-@query()
-def stratified_sample(spark, sf_dir):
-    t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
-    return sample.by_field(t, "label", 1, 1.0)
-
-
 TAGS = "SELECT user_id * 10 + event_id % 10 AS user_id, string_agg(event_type, ',' ORDER BY ts, event_id) AS kinds, string_agg(CAST(event_id // 10 % 50 AS VARCHAR), ',' ORDER BY ts, event_id) AS items FROM events GROUP BY 1"
 
 
@@ -376,17 +366,6 @@ def unigram_weights(spark, sf_dir):
     return P.unigram_weights(token_frequency(spark, sf_dir)).withColumn("weight", F.round("weight", 9))
 
 
-@query()
-def pos_samples(spark, sf_dir):
-    return P.positives(P.known_tags(melt_tags(spark, sf_dir), _vocab(spark, sf_dir)))
-
-
-@query()
-def neg_samples(spark, sf_dir):
-    vocab = _vocab(spark, sf_dir)
-    return P.negatives(P.positives(P.known_tags(melt_tags(spark, sf_dir), vocab)), vocab)
-
-
 DAYS = "SELECT *, 'p_' || strftime(o_orderdate, '%Y%m%d') AS part FROM orders"
 
 
@@ -429,11 +408,6 @@ def nulls_and_labels(spark, sf_dir):
     return t.select("event_id", "event_type", "k", F.col("label").cast("long").alias("label"))
 
 
-@query()
-def shuffle_column(spark, sf_dir):
-    return J.shuffle_column(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "other", ["c_custkey"])
-
-
 WORKFLOW = """<job name="brand"><pipeline name="wide"><properties><property key="bins" value="10"/></properties>
 <node id="orders" processor="load_table"><properties><property key="table" value="{dir}/orders.parquet"/></properties></node>
 <node id="customer" processor="load_table"><properties><property key="table" value="{dir}/customer.parquet"/></properties></node>
@@ -525,3 +499,5 @@ def events_sessions(spark, sf_dir):
     return out.withColumns({"total": F.round("total", 4), "start": F.col("start").cast("timestamp_ntz"), "end": F.col("end").cast("timestamp_ntz")})
 
 
+# The rest registers itself; it needs what is defined above.
+from . import io_queries  # noqa: E402, F401
