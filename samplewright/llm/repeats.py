@@ -1,31 +1,33 @@
-"""Exact search for repeated windows of n tokens, over bytes or words.
+"""Exact search for repeated windows of n bytes.
 
 A window is identified by an anchor: the smallest rolling hash of the short
 grams in it. Consecutive windows of a document with one anchor form a block
-(a phrase, with the n-1 tokens after it), so equal windows always lie in
+(a phrase, with the n-1 bytes after it), so equal windows always lie in
 blocks with equal anchors. Three steps follow.
 
-1. Blocks, some 2/(n-w+2) a token, are dealt out by anchor, packed as arrays;
+1. Blocks, some 2/(n-w+2) a byte, are dealt out by anchor, packed as arrays;
    copies within a batch are merged before that. Equal blocks are repeats in
    full. Of different blocks with one anchor, those that agree before or after
    it, over half of what a window has besides, are ambiguous: no others can
    share a window.
-2. One copy of each ambiguous block goes, with its tokens, to where its anchor
+2. One copy of each ambiguous block goes, with its bytes, to where its anchor
    is dealt to. There blocks are spelled out window by window, some anchors at
    a time, and equal windows found.
 3. Runs of repeated windows come back to their documents.
 
 No key gathers more than one entry for each batch and different content.
-Two independent 64-bit hashes must agree for anything to count as equal;
-byte windows of ambiguous blocks are compared themselves.
+Blocks count as equal if their anchors' hashes (64 bits) and their own hashes
+over a prime field (61 bits, see seqhash.Field) agree; windows of ambiguous
+blocks are compared as bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +53,6 @@ ENTRY = np.dtype([("anchor", "<u8"), ("check", "<u8"), ("key", "<i8"), ("lo", "<
 #: a block: also what stands before and after its anchor (0: too little in the block)
 SIDED = np.dtype([*ENTRY.descr, ("left", "<u4"), ("right", "<u4")])
 
-#: tokens(bytes, offsets) -> (code of each token, first token of each text)
-Tokens = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-
 
 def pack(entries: np.ndarray) -> bytes:
     return b"".join(entries[f].tobytes() for f in entries.dtype.names)
@@ -141,10 +140,11 @@ def valid_starts(first: np.ndarray, n: int, total: int) -> np.ndarray:
     return np.cumsum(edge)[:total] > 0
 
 
-def blocks(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: int) -> np.ndarray:
+def blocks(data: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: int) -> np.ndarray:
     """Entries of one batch; keys: of each text."""
-    if len(codes) < n:
+    if len(data) < n:
         return np.empty(0, SIDED)
+    codes = H.BYTE_CODES[data]
     grams = H.Rolling(codes, H.BASES[0]).grams(w)
     least = H.sliding_min(grams, n - w + 1)
     ok = valid_starts(first, n, len(least))
@@ -160,7 +160,7 @@ def blocks(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, w: in
     hi = np.minimum(np.r_[lo[1:], len(codes)], first[text + 1] - n + 1)
     out = np.empty(len(lo), SIDED)
     rolling = H.Rolling(codes, H.BASES[1])
-    out["anchor"], out["check"] = least[lo], rolling.spans(lo, hi - 1 + n)
+    out["anchor"], out["check"] = least[lo], H.Field(data).spans(lo, hi - 1 + n)
     out["key"], out["lo"], out["n"] = keys[text], lo - first[text], hi - lo
     # grams that are the least of some window, and how many of a block's are its anchor
     edge = np.zeros(n - w, H.U64)
@@ -190,28 +190,28 @@ def alike(entries: np.ndarray, side: str) -> np.ndarray:
     return out
 
 
-def _cut(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, piece: int):
-    """Texts of more than `piece` tokens, in pieces that overlap by n-1."""
-    if len(codes) <= 2 * piece:
-        yield codes, first, keys, 0
+def _cut(data: np.ndarray, first: np.ndarray, keys: np.ndarray, n: int, piece: int):
+    """Texts of more than `piece` bytes, in pieces that overlap by n-1."""
+    if len(data) <= 2 * piece:
+        yield data, first, keys, 0
         return
     for t in range(len(first) - 1):
         a, b = first[t], first[t + 1]
         for s in range(a, max(b - n + 1, a + 1), piece):
             e = min(s + piece + n - 1, b)
-            yield codes[s:e], np.array([0, e - s]), keys[t : t + 1], s - a
+            yield data[s:e], np.array([0, e - s]), keys[t : t + 1], s - a
 
 
-def block_rows(tokens: Tokens, n: int, w: int, buckets: int, both: bool):
+def block_rows(n: int, w: int, buckets: int, both: bool):
     """The first step's map: batches of (key, text) to packed blocks and sure hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in pieces(big):
                 keys = batch.column("key").to_numpy(zero_copy_only=False)
-                codes, first = tokens(*H.batch_bytes(batch.column("text")))
+                data, first = H.batch_bytes(batch.column("text"))
                 found = []
-                for c, f, k, shift in _cut(codes, first, keys, n, PIECE):
+                for c, f, k, shift in _cut(data, first, keys, n, PIECE):
                     e = blocks(c, f, k, n, w)
                     e["lo"] += shift
                     found.append(e)
@@ -233,8 +233,8 @@ def gathered(batches: Iterator[pa.RecordBatch], entries: list, dtype: np.dtype =
         entries += [unpack(x, dtype) for x in b.column("packed").filter(pa.array(kind == PACKED)).to_pylist()]
 
 
-def merge_blocks(both: bool, keep: bool = False, buckets: int = 0):
-    """The first step's reduce. keep: pack what was merged again (compaction)."""
+def merge_blocks(both: bool):
+    """The first step's reduce."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries: list[np.ndarray] = []
@@ -245,9 +245,6 @@ def merge_blocks(both: bool, keep: bool = False, buckets: int = 0):
         entries.clear()
         if len(hit):
             yield table(HIT, hit["key"], hit["lo"], hit["n"])
-        if keep:
-            yield dealt(lead, "anchor", buckets)
-            return
         group = np.cumsum(np.r_[True, lead["anchor"][1:] != lead["anchor"][:-1]]) - 1
         inner = np.bincount(group, weights=lead["flags"] & INNER) > 0  # its anchor may stand anywhere
         many = inner[group] | alike(lead, "left") | alike(lead, "right")
@@ -276,31 +273,27 @@ def suffix_order(data: np.ndarray, n: int) -> np.ndarray:
     return rank
 
 
-def content_rows(tokens: Tokens, n: int, w: int, buckets: int, bytewise: bool):
-    """The second step's map: (key, text, spans) to blocks with their tokens
-    (bytes, or codes of words), packed by the anchor's bucket."""
+def content_rows(n: int, w: int, buckets: int):
+    """The second step's map: (key, text, spans) to blocks with their bytes,
+    packed by the anchor's bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in pieces(big):
                 keys = batch.column("key").to_numpy(zero_copy_only=False)
-                data, offs = H.batch_bytes(batch.column("text"))
-                codes, first = tokens(data, offs)
-                spans = batch.column("spans").to_pylist()
-                text = np.repeat(np.arange(len(spans)), [len(s) for s in spans])
+                data, first = H.batch_bytes(batch.column("text"))
+                text, lo, n_windows = span_arrays(batch.column("spans"))
                 e = np.zeros(len(text), ENTRY)
-                e["key"] = keys[text]
-                e["lo"], e["n"] = [x["lo"] for s in spans for x in s], [x["n"] for s in spans for x in s]
+                e["key"], e["lo"], e["n"] = keys[text], lo, n_windows
                 start = first[text] + e["lo"]
-                e["anchor"] = H.sliding_min(H.Rolling(codes, H.BASES[0]).grams(w), n - w + 1)[start]
-                raw = data if bytewise else codes
+                e["anchor"] = H.sliding_min(H.Rolling(H.BYTE_CODES[data], H.BASES[0]).grams(w), n - w + 1)[start]
                 at = buckets_of(H.mix(e["anchor"] * H.BASES[1]), buckets)
                 order = np.argsort(at, kind="stable")
                 cut = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
                 packed = []
                 for own in np.split(order, cut[1:]):
                     stop = start[own] + e["n"][own] + n - 1
-                    content = np.concatenate([raw[a:b] for a, b in zip(start[own], stop, strict=True)])
+                    content = np.concatenate([data[a:b] for a, b in zip(start[own], stop, strict=True)])
                     packed.append(np.int32(len(own)).tobytes() + pack(e[own]) + content.tobytes())
                 yield table(PACKED, bucket=at[order][cut], packed=packed)
 
@@ -321,7 +314,7 @@ def joined(hit: np.ndarray) -> np.ndarray:
     return out
 
 
-def merge_content(n: int, both: bool, bytewise: bool):
+def merge_content(n: int, both: bool):
     """The second step's reduce: runs of windows that repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +322,7 @@ def merge_content(n: int, both: bool, bytewise: bool):
         for blob in (x for b in batches for x in b.column("packed").to_pylist()):
             end = 4 + int(np.frombuffer(blob, np.int32, 1)[0]) * ENTRY.itemsize
             found.append(unpack(blob[4:end]))
-            contents.append(np.frombuffer(blob[end:], np.uint8 if bytewise else H.U64))
+            contents.append(np.frombuffer(blob[end:], np.uint8))
         if not found:
             return
         e, raw = np.concatenate(found), np.concatenate(contents)
@@ -347,11 +340,8 @@ def merge_content(n: int, both: bool, bytewise: bool):
             dictionary = raw[np.repeat(start[own], long) + _ramp(long)]
             begin = np.repeat(np.cumsum(long) - long, m) + _ramp(m)
             each = np.zeros(len(begin), ENTRY)
-            if bytewise:  # neighbours in this order with a common prefix of n are equal windows
-                each["anchor"] = suffix_order(dictionary, n)[begin]
-            else:
-                for field, base in zip(("anchor", "check"), H.BASES, strict=True):
-                    each[field] = H.Rolling(dictionary, base).spans(begin, begin + n)
+            # neighbours in this order with a common prefix of n are equal windows
+            each["anchor"] = suffix_order(dictionary, n)[begin]
             each["key"], each["lo"], each["n"] = np.repeat(e["key"][own], m), np.repeat(e["lo"][own], m) + _ramp(m), 1
             _, hit = merged(each, both)
             if len(hit):
@@ -365,35 +355,40 @@ def shuffled(rows: DataFrame, parts: int, reduce) -> DataFrame:
     return rows.repartition(parts, "bucket").mapInArrow(reduce, ROWS)
 
 
-def spelled(docs: DataFrame, found: DataFrame, parts: int, tokens: Tokens, n: int, w: int, both: bool, bytewise: bool, scratch: Scratch) -> DataFrame:
-    """All hits (key, lo, n), from the first step's saved rows."""
-    spans = found.where(F.col("kind") == SPELL).groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
-    rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(content_rows(tokens, n, w, parts, bytewise), ROWS)
-    windows = scratch.save(shuffled(rows, parts, merge_content(n, both, bytewise)).select("key", "lo", "n"), "windows")
+def repeats(docs: DataFrame, n: int, w: int, both: bool, scratch: Scratch) -> DataFrame:
+    """(key, lo, n): runs of n windows from byte lo on that repeat. docs: (key, text)."""
+    parts = partitions_for(docs)
+    rows = docs.mapInArrow(block_rows(n, w, parts, both), ROWS)
+    found = scratch.save(shuffled(rows, parts, merge_blocks(both)).select("kind", "key", "lo", "n"), "blocks")
+    spans = spans_by_key(found.where(F.col("kind") == SPELL))
+    rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(content_rows(n, w, parts), ROWS)
+    windows = scratch.save(shuffled(rows, parts, merge_content(n, both)).select("key", "lo", "n"), "windows")
     return found.where(F.col("kind") == HIT).select("key", "lo", "n").unionAll(windows)
 
 
-def repeats(docs: DataFrame, tokens: Tokens, n: int, w: int, both: bool, bytewise: bool, scratch: Scratch) -> DataFrame:
-    """(key, lo, n): runs of n windows from token lo on that repeat. docs: (key, text)."""
-    parts = partitions_for(docs)
-    rows = docs.mapInArrow(block_rows(tokens, n, w, parts, both), ROWS)
-    found = scratch.save(shuffled(rows, parts, merge_blocks(both)).select("kind", "key", "lo", "n"), "blocks")
-    return spelled(docs, found, parts, tokens, n, w, both, bytewise, scratch)
+def spans_by_key(rows: DataFrame) -> DataFrame:
+    """(key, spans): each key's places (lo, n), one whole number each."""
+    return rows.groupBy("key").agg(F.collect_list(F.shiftleft(F.col("lo").cast("long"), 31) + F.col("n")).alias("spans"))
+
+
+def span_arrays(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, lo, n) of all spans of a batch, null lists without any."""
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    flat = spans.flatten().to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(spans)), sizes), flat >> 31, flat & ((1 << 31) - 1)
 
 
 def with_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """docs (key, text) with their runs; a document's list is no longer than the document."""
-    spans = hits.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+    spans = spans_by_key(hits)
     free_shuffles(docs.sparkSession)
     return docs.join(spans.hint("merge"), "key", "left")
 
 
-def covered(spans: list | None, n: int, size: int) -> np.ndarray:
-    """Which of `size` tokens lie in a window of a run."""
-    edge = np.zeros(size + 1, np.int64)
-    if spans:
-        lo = np.array([x["lo"] for x in spans])
-        m = np.array([x["n"] for x in spans])
-        np.add.at(edge, lo, 1)
-        np.add.at(edge, lo + m - 1 + n, -1)
-    return np.cumsum(edge)[:size] > 0
+def covered(spans: pa.ListArray, first: np.ndarray, n: int) -> np.ndarray:
+    """Which tokens of a batch's texts, laid end to end, lie in a window of a run; first: each text's first token [len+1]."""
+    text, lo, m = span_arrays(spans)
+    edge = np.zeros(first[-1] + 1, np.int32)
+    np.add.at(edge, first[text] + lo, 1)
+    np.add.at(edge, first[text] + lo + m - 1 + n, -1)
+    return np.cumsum(edge)[:-1] > 0

@@ -75,7 +75,9 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial hashes of any spans of one token sequence."""
+    """Polynomial hashes modulo 2**64 of any spans of one token sequence. Long
+    structured spans can collide, so they only choose places (anchors) or
+    features; what must be equal is compared by Field."""
 
     def __init__(self, codes: np.ndarray, base: np.uint64 = BASES[0]):
         n = len(codes)
@@ -94,6 +96,82 @@ class Rolling:
         return mix((self.prefix[k:] - self.prefix[: len(self.prefix) - k]) * self.inv[: len(self.prefix) - k])
 
 
+PRIME = (1 << 61) - 1
+#: Bases of the prime-field hashes: any two different numbers below PRIME, drawn once.
+FIELD_BASES = (1_402_364_718_690_412_853, 1_873_501_229_474_067_421)
+_P, _S61, _S31, _S30 = U64(PRIME), U64(61), U64(31), U64(30)
+_M31, _M30 = U64((1 << 31) - 1), U64((1 << 30) - 1)
+#: Sums of this many products of a byte and 31 bits stay below 2**63.
+_RUN = 1 << 23
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _S61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _shifted31(x: np.ndarray) -> np.ndarray:
+    """x * 2**31 modulo PRIME, not yet fully reduced; x below PRIME."""
+    return (x >> _S30) + ((x & _M30) << _S31)
+
+
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, both below PRIME, in four products of halves."""
+    ah, al, bh, bl = a >> _S31, a & _M31, b >> _S31, b & _M31
+    middle = ah * bl + al * bh
+    return _reduced(((ah * bh) << U64(1)) + _shifted31(middle) + al * bl)
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def field_powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo PRIME; kept for the next batch."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        out = np.ones(max(n, 1 << 16), U64)
+        filled, step = 1, base
+        while filled < len(out):
+            m = min(filled, len(out) - filled)
+            out[filled : filled + m] = mulmod(out[:m], U64(step))
+            filled += m
+            step = step * step % PRIME
+        known = out
+        if n <= 1 << 21:
+            _POWERS[base] = known
+    return known[:n]
+
+
+class Field:
+    """Polynomial hashes of spans over the field of 2**61 - 1 elements. Two
+    different spans of n tokens have one hash for at most n of the 2**61 bases,
+    whatever the tokens are, unlike hashes modulo a power of two. `which`
+    chooses one of two independent bases."""
+
+    def __init__(self, codes: np.ndarray, which: int = 0):
+        base, n = FIELD_BASES[which], len(codes)
+        self.inverse = field_powers(pow(base, -1, PRIME), n + 1)
+        power = field_powers(base, n)
+        self.high, self.low = np.zeros(n + 1, U64), np.zeros(n + 1, U64)
+        for a in range(0, n, _RUN):
+            own = slice(a, min(a + _RUN, n))
+            if codes.dtype == np.uint8:
+                code = codes[own].astype(U64) + U64(1)  # no code is 0, so length counts
+                high, low = code * (power[own] >> _S31), code * (power[own] & _M31)
+            else:
+                product = mulmod(codes[own], power[own])
+                high, low = product >> _S31, product & _M31
+            for sums, part in ((self.high, high), (self.low, low)):
+                np.cumsum(part, out=sums[a + 1 : own.stop + 1])
+                if a:
+                    sums[a + 1 : own.stop + 1] += sums[a] % _P
+
+    def spans(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hashes below PRIME, never 0 for tokens that are never 0 modulo PRIME and n > 0, but for chance."""
+        part = lambda sums: _reduced(_reduced(sums[hi]) + (_P - _reduced(sums[lo])))
+        return mulmod(_reduced(_shifted31(part(self.high)) + part(self.low)), self.inverse[lo])
+
+
 def words(data: np.ndarray, offs: np.ndarray, separator: np.ndarray = SPACE):
     """(start, end, first word of each text [len+1]) of the maximal runs of non-separators; no run crosses texts."""
     n = len(data)

@@ -1,75 +1,17 @@
-"""What the corpus operators share of Spark: scratch tables in the shared
-checkpoint folder, sizing of shuffles, and one key for each document."""
+"""What the corpus operators share of Spark: sizing of
+shuffles, and one key for each document."""
 
 from __future__ import annotations
 
-import atexit
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A shuffle partition is planned for about so many bytes of scanned input.
-BYTES_PER_PARTITION = 4 << 20
-MAX_PARTITIONS = 65_536
-#: Rows of an Arrow batch where the session has Spark's own number: whole texts are long rows.
-ARROW_ROWS, SPARKS_ROWS = "1000", "10000"
-#: doc_id of rows that have none, where an order is needed: after all others.
-NO_ID = 2**63 - 1
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary one only where none is set."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="samplewright-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir()
-    return root
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
+from ..scratch import Scratch, delete, free_shuffles, numbered, read_small, write_small
 
-class Scratch:
-    """Written tables of one operator run. They cut lineage: a lost executor
-    costs a re-read, not the whole plan. `drop` frees one early; what is left
-    goes when the driver ends."""
+__all__ = ["Scratch", "ascii_lower", "by_doc_id", "delete", "free_shuffles", "keyed", "partitions_for", "read", "read_small", "write_small"]
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.root = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-        rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        if spark.conf.get(rows) == SPARKS_ROWS:
-            spark.conf.set(rows, ARROW_ROWS)
-        atexit.register(self.clear)
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        free_shuffles(self.spark)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        _delete(self.spark, f"{self.root}/{name}")
-
-    def clear(self) -> None:
-        try:
-            _delete(self.spark, self.root)
-        except Exception:  # the JVM may be gone at exit; nothing is left to free then
-            pass
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete shuffle files of plans that are done."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+#: A shuffle partition is planned for about so many bytes of scanned input.
+BYTES_PER_PARTITION = 4 << 20
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -84,7 +26,7 @@ def partitions_for(df: DataFrame) -> int:
     size = input_bytes(df)
     if size > 1 << 60:  # no statistics
         return least
-    return max(least, min(MAX_PARTITIONS, size // BYTES_PER_PARTITION))
+    return max(least, size // BYTES_PER_PARTITION)
 
 
 def keyed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
@@ -97,13 +39,12 @@ def keyed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     odd = docs.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).limit(1).count()
     if not odd:
         return docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")), None
-    pairs = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")).distinct().orderBy(F.col("i").asc_nulls_last(), F.col("text").asc_nulls_last())
-    schema = f"key long, i {docs.schema[id_col].dataType.simpleString()}, text string"
-    numbered = scratch.save(docs.sparkSession.createDataFrame(pairs.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0], x[0][1])), schema), "keys")
-    back = numbered.select("key", F.col("i").alias("_i"), F.col("text").alias("_t"))
+    pairs = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")).distinct()
+    made = scratch.save(numbered(pairs, [F.col("i").asc_nulls_last(), F.col("text").asc_nulls_last()], "key"), "keys")
+    back = made.select("key", F.col("i").alias("_i"), F.col("text").alias("_t"))
     same = F.col(id_col).eqNullSafe(F.col("_i")) & F.col(text_col).eqNullSafe(F.col("_t"))
     rows = docs.select(id_col, text_col).join(back, same).select(F.col(id_col).alias("doc_id"), "key")
-    return numbered.select("key", "text"), scratch.save(rows, "rows")
+    return made.select("key", "text"), scratch.save(rows, "rows")
 
 
 def by_doc_id(result: DataFrame, rows: DataFrame | None) -> DataFrame:

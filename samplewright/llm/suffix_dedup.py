@@ -32,19 +32,14 @@ from .sparkio import Scratch, by_doc_id, keyed
 WINDOW, GRAM = 100, 24
 
 
-def byte_tokens(data: np.ndarray, offs: np.ndarray):
-    return H.BYTE_CODES[data], offs
-
-
 def _kept(window: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = H.batch_bytes(b.column("text"))
-            rows = []
-            for i, spans in enumerate(b.column("spans").to_pylist()):
-                own = data[offs[i] : offs[i + 1]]
-                gone = R.covered(spans, window, len(own))
-                left = own[~gone].tobytes() if spans else own.tobytes()
+            rows, all_gone = [], R.covered(b.column("spans"), offs, window)
+            for i in range(b.num_rows):
+                own, gone = data[offs[i] : offs[i + 1]], all_gone[offs[i] : offs[i + 1]]
+                left = own[~gone].tobytes()
                 begins = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 rows.append((len(own), int(gone.sum()), begins, hashlib.sha256(left).hexdigest(), left if texts else None))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
@@ -60,8 +55,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, te
     that a string of `window` bytes covers which also starts earlier."""
     scratch = Scratch(docs.sparkSession, "suffix")
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
-    hits = R.repeats(own, byte_tokens, window, gram, both=False, bytewise=True, scratch=scratch)
+    hits = R.repeats(own, window, gram, both=False, scratch=scratch)
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     out = R.with_hits(own, hits).select("key", "text", "spans").mapInArrow(_kept(window, texts), schema)
-    out = by_doc_id(out, rows)
-    return out if texts else out.drop("kept")
+    out = by_doc_id(out if texts else out.drop("kept"), rows)
+    return scratch.save(out, "result")

@@ -4,7 +4,8 @@ import re
 from collections import Counter
 
 from samplewright.llm.suffix_dedup import dedup_substrings
-from samplewright.llm.window_index import FingerprintIndex, dedup_windows, word_tokens
+from samplewright.llm.sparkio import Scratch
+from samplewright.llm.window_index import FingerprintIndex, dedup_windows
 
 
 def brute_bytes(docs, n):
@@ -84,18 +85,45 @@ def test_windows_with_odd_rows(spark):
     assert dedup_windows(df.limit(0)).count() == 0
 
 
-def test_compaction_keeps_the_answer(spark, tmp_path):
-    from samplewright.llm.sparkio import Scratch
+def index_answer(docs, n):
+    words = {k: re.findall(r"[^\x20\x09-\x0D]+", t or "") for k, t in docs}
+    count = Counter(tuple(w[i : i + n]) for w in words.values() for i in range(len(w) - n + 1))
+    return {(k, i) for k, w in words.items() for i in range(len(w) - n + 1) if count[tuple(w[i : i + n])] > 1}
+
 
+def test_index_reopens_compacts_and_shuffles_no_history(spark, tmp_path):
     docs = corpus(9)
     df = spark.createDataFrame(docs, "key long, text string")
-    index = FingerprintIndex(spark, str(tmp_path), 4, 12, 3, fanout=2)
-    hits = []
-    for i in range(4):
-        index.add(df.where(f"key % 4 = {i}"))
-    assert len(index.runs) == 1
-    runs = index.repeats(df, Scratch(spark, "t")).collect()
-    hits = {(r.key, r.lo + i) for r in runs for i in range(r.n)}
-    words = {k: (t or "").split() if t is None else re.findall(r"[^\x20\x09-\x0D]+", t) for k, t in docs}
-    count = Counter(tuple(w[i : i + 12]) for w in words.values() for i in range(len(w) - 11))
-    assert hits == {(k, i) for k, w in words.items() for i in range(len(w) - 11) if count[tuple(w[i : i + 12])] > 1}
+    scratch = Scratch(spark, "t")
+    FingerprintIndex(spark, str(tmp_path), 4, 12, 3, fanout=3).add(df.where("key % 4 = 0"), df.where("key % 4 = 0"), scratch).collect()
+    hits = set()
+    for i in range(4):  # each delivery by an index that is opened anew
+        if i:
+            index = FingerprintIndex.open(spark, str(tmp_path))
+            runs = index.add(df.where(f"key % 4 = {i}"), df.where(f"key % 4 <= {i}"), scratch).collect()
+        else:
+            index = FingerprintIndex(spark, str(tmp_path / "again"), 4, 12, 3, fanout=3)
+            runs = index.add(df.where("key % 4 = 0"), df.where("key % 4 = 0"), scratch).collect()
+        hits |= {(r.key, r.lo + j) for r in runs for j in range(r.n)}
+        plan = index.met(index.made)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        index.close()
+    assert hits == index_answer(docs, 12)
+    index = FingerprintIndex.open(spark, str(tmp_path))
+    assert len(index.runs) == 2 and index.made == 5  # three deliveries became one run; their files are gone
+    assert sorted(p.name for p in (tmp_path / "runs").iterdir() if p.name.startswith("run=")) == [f"run={r}" for r in sorted(index.runs)]
+    index.close()
+
+
+def thue_morse(bits, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(1 << bits))
+
+
+def test_words_that_break_hashes_modulo_two_to_the_64(spark):
+    a, b = thue_morse(11, "ab"), thue_morse(11, "ba")
+    rest = " ".join(f"w{i}" for i in range(34))
+    df = spark.createDataFrame([(1, f"{a} {rest}"), (2, f"{b} {rest}")], "doc_id long, text string")
+    assert [r.n_removed for r in dedup_windows(df).collect()] == [0, 0]
+    df = spark.createDataFrame([(1, "x" + a), (2, "y" + b)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_substrings(df).collect()}
+    assert got == brute_bytes([(1, "x" + a), (2, "y" + b)], 100)
