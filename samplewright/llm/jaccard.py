@@ -47,17 +47,19 @@ SEPARATOR = H.SPACE
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = K, lower: bool = True, separator: np.ndarray = SEPARATOR):
-    """(shingle hashes, sorted and distinct in each text; first one of each text [len+1])."""
+    """(shingle hashes, sorted and distinct in each text; first one of each text [len+1]).
+    Both the words' codes and the shingles' hashes are over the prime field, so
+    no structure of the text makes different shingles equal."""
     if lower:
         data = H.LOWER[data]
     starts, ends, first = H.words(data, offs, separator)
-    code = H.Rolling(H.BYTE_CODES[data]).spans(starts, ends)
+    code = H.Field(data).spans(starts, ends)
     n = np.diff(first)
     m = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     text = np.repeat(np.arange(len(n)), m)
     lo = np.repeat(first[:-1], m) + R._ramp(m)
     hi = lo + np.minimum(k, n[text])
-    h = H.Rolling(code, H.BASES[1]).spans(lo, hi) if len(code) else np.zeros(0, H.U64)
+    h = H.Field(code, 1).spans(lo, hi) if len(code) else np.zeros(0, H.U64)
     order = np.lexsort((h, text))
     h, text = h[order], text[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])] if len(h) else np.zeros(0, bool)
