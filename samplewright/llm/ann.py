@@ -8,10 +8,12 @@ several most probable parts and compared exactly with all vectors there. How
 many parts are asked is set on sampled vectors outside the training half,
 so that TARGET of their true neighbours are reached.
 
-Parts are cut into blocks of about BLOCK vectors by a hash of the id, and the
-queries of a part into blocks too, so a part that a third of all vectors share
-is many tasks. Each block returns its nearest for each query; the best of those
-is the result.
+There are about sqrt(n) / 7 parts for n vectors, from 2 to 256, at every size
+alike. Parts are cut into blocks of about BLOCK vectors by a hash of the id, and
+the queries of a part into blocks too, so a part that a third of all vectors
+share is many tasks. A block's distances are one matrix product; those that
+could be among a query's nearest are computed again from differences. Each
+block returns its nearest for each query; the best of those is the result.
 
 Nulls: vectors that are null, zero, of another length than most (of equally
 common lengths the smallest), or hold null or non-finite components take no
@@ -32,10 +34,12 @@ from .sparkio import Scratch
 
 #: Vectors that the partition is learned from, at most.
 SAMPLE = 8192
-PARTS, NEIGHBOURS, SLACK = 32, 10, 1.1
+LEAST_PARTS, MOST_PARTS, NEIGHBOURS, SLACK = 2, 256, 10, 1.1
 HIDDEN, STEPS, BATCH = 128, 1500, 256
 TARGET = 0.95
-BLOCK, QUERY_BLOCK = 4096, 1024
+BLOCK, QUERY_BLOCK = 8192, 4096
+#: Queries whose distances to a block are one matrix.
+TOGETHER = 128
 
 
 def nearest(queries: np.ndarray, base: np.ndarray, k: int, own: bool = False) -> np.ndarray:
@@ -113,19 +117,15 @@ class Router:
         return np.argsort(-(a @ self.w[2] + self.w[3]), 1, kind="stable")
 
 
-class One:
-    """The router of a table too small to part."""
-
-    def ranked(self, x: np.ndarray) -> np.ndarray:
-        return np.zeros((len(x), 1), int)
+def parts_for(n: int) -> int:
+    return max(LEAST_PARTS, min(MOST_PARTS, round(n**0.5 / 7)))
 
 
-def learn(x: np.ndarray, parts: int = PARTS, k: int = 10):
-    """(router, parts to ask) from sampled vectors."""
-    if len(x) < 20 * parts or len(np.unique(x, axis=0)) < 2 * parts:
-        return One(), 1
-    half = len(x) // 2
+def learn(x: np.ndarray, parts: int, k: int = 10):
+    """(router, parts to ask) from sampled vectors; no more parts than there are vectors to fit."""
+    half = max(len(x) // 2, 1)
     fit, rest = x[:half], x[half:]
+    parts = min(parts, half)
     graph = nearest(fit, fit, NEIGHBOURS, own=True)
     seeds = fit[np.linspace(0, half - 1, parts).astype(int)]
     for _ in range(8):
@@ -134,9 +134,12 @@ def learn(x: np.ndarray, parts: int = PARTS, k: int = 10):
     router = Router(fit, balanced_parts(graph, start, parts), parts)
     home = router.ranked(x)[:, 0]
     ask = rest[:500]
+    if not len(ask):
+        return router, parts
     true = nearest(ask, x, k + 1)
     other = true != half + np.arange(len(ask))[:, None]  # any routing finds the query itself
     place = np.argsort(router.ranked(ask), 1)  # rank of each part for each query
+    # too few to calibrate on: the last of them counts
     needed = np.sort(place[np.arange(len(ask))[:, None], home[true]][other])
     return router, int(needed[min(int(np.ceil(TARGET * len(needed))), len(needed) - 1)]) + 1
 
@@ -162,37 +165,59 @@ def _routed(router, ask: int):
 
 def _compared(k: int):
     def run(key, base: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        found = []
         if len(base) and len(queries):
             c, ids = np.stack(base["embedding"]), base["vec_id"].to_numpy()
             order = np.argsort(ids, kind="stable")
             c, ids = c[order], ids[order]
-            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            own = ids[first]
-            for q, v in zip(queries["vec_id"], queries["embedding"], strict=True):
-                d = np.sqrt(((c - v) ** 2).sum(1))
-                if len(own) < len(ids):  # an id counts once, at its smallest distance
-                    d = np.minimum.reduceat(d, first)
-                other = np.flatnonzero(own != q)
-                if not len(other):
-                    continue
-                edge = np.partition(d[other], min(k, len(other)) - 1)[min(k, len(other)) - 1]
-                near = other[d[other] <= edge]
-                near = near[np.lexsort((own[near], d[near]))][:k]
-                rows += [(q, own[i], d[i]) for i in near]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])  # an id counts once
+            own, group = ids[first], np.cumsum(np.r_[True, ids[1:] != ids[:-1]]) - 1
+            asked, q = queries["vec_id"].to_numpy(), np.stack(queries["embedding"])
+            norm = (c * c).sum(1)
+            for at in range(0, len(q), TOGETHER):
+                found += _nearest_ids(c, norm, own, first, group, q[at : at + TOGETHER], asked[at : at + TOGETHER], k)
+        ids, scores = [np.concatenate(x) if found else np.zeros(0) for x in (list(zip(*found, strict=True))[1:] if found else ([], []))]
+        asked = np.repeat([f[0] for f in found], [len(f[1]) for f in found]) if found else np.zeros(0)
+        return pd.DataFrame({"query_id": asked.astype(np.int64), "vec_id": ids.astype(np.int64), "score": scores.astype(float)})
 
     return run
 
 
-def search(vectors: DataFrame, is_query, k: int = 10, parts: int = PARTS) -> DataFrame:
+def _nearest_ids(c, norm, own, first, group, q, asked, k: int) -> list[tuple]:
+    """(query, ids, distances) of each query's k nearest ids in a block. The
+    product finds all that may be among them, within its rounding error."""
+    near = norm[None] - 2 * q @ c.T
+    by_id = np.minimum.reduceat(near, first, axis=1) if len(own) < len(group) else near
+    mine = np.searchsorted(own, asked)
+    here = np.flatnonzero((mine < len(own)) & (own[np.minimum(mine, len(own) - 1)] == asked))
+    by_id = by_id.copy()
+    by_id[here, mine[here]] = np.inf
+    edge = np.partition(by_id, min(k, len(own)) - 1, axis=1)[:, min(k, len(own)) - 1]
+    slip = 1e-12 * c.shape[1] * (norm.max() + (q * q).sum(1)) + 1e-300
+    out = []
+    for i, v in enumerate(q):
+        at = np.flatnonzero((near[i] <= edge[i] + slip[i]) & (own[group] != asked[i]))
+        if not len(at):
+            continue
+        d = np.sqrt(((c[at] - v) ** 2).sum(1))
+        start = np.flatnonzero(np.r_[True, group[at][1:] != group[at][:-1]])
+        d, ids = np.minimum.reduceat(d, start), own[group[at][start]]
+        best = np.lexsort((ids, d))[:k]
+        out.append((asked[i], ids[best], d[best]))
+    return out
+
+
+def search(vectors: DataFrame, is_query, k: int = 10, parts: int | None = None) -> DataFrame:
     """vectors (vec_id, embedding, …); is_query: a condition on vec_id →
-    query_id, rank, vec_id, score (Euclidean distance)."""
+    query_id, rank, vec_id, score (Euclidean distance). parts: parts_for the
+    number of vectors, where not given."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "ann")
     fine = scratch.save(usable(vectors), "vectors")
     sample = fine.orderBy(F.xxhash64("vec_id", "embedding")).limit(SAMPLE).select("embedding").collect()
-    router, ask = learn(np.array([r.embedding for r in sample]), parts, k)
+    if not sample:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    router, ask = learn(np.array([r.embedding for r in sample]), parts or parts_for(fine.count()), k)
 
     shape = "vec_id long, embedding array<double>, parts array<int>"
     base = scratch.save(fine.mapInPandas(_routed(router, 1), shape).select("vec_id", "embedding", F.col("parts")[0].alias("part")), "base")
