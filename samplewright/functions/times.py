@@ -52,6 +52,13 @@ def is_aligned(epoch_ms: int, granularity: Granularity, offset_hours: int = DAY_
     return (epoch_ms + shift) % granularity.milliseconds() == 0
 
 
+def require_aligned(epoch_ms: int, granularity: Granularity, offset_hours: int = DAY_OFFSET_HOURS) -> int:
+    """The timestamp, or an error where it doesn't begin a period."""
+    if not is_aligned(epoch_ms, granularity, offset_hours):
+        raise ValueError(f"{epoch_ms} doesn't begin a {granularity.name.lower()}")
+    return epoch_ms
+
+
 def to_epoch_ms(moment: datetime, offset_hours: int = 0) -> int:
     return int((moment.replace(tzinfo=UTC) - timedelta(hours=offset_hours)).timestamp() * 1000)
 

@@ -164,6 +164,13 @@ def partition_counts(spark, sf_dir):
     return partitions.counts(_days(spark, sf_dir), "part")
 
 
+@query("SELECT CAST(1 AS BIGINT) AS some, CAST(3 AS BIGINT) AS thrice")
+def partition_number(spark, sf_dir):
+    """Executors by cores by a factor, so in proportion to the factor."""
+    one = partitions.parallelism(spark, 1)
+    return spark.createDataFrame([(int(one > 0), partitions.parallelism(spark, 3) // one)], "some long, thrice long")
+
+
 @query(f"SELECT o_orderkey, part FROM ({DAYS}) WHERE substr(part, 3, 6) IN (SELECT DISTINCT substr(part, 3, 6) FROM ({DAYS}) ORDER BY 1 DESC LIMIT 2)")
 def partition_newest_periods(spark, sf_dir):
     """The two newest months."""
@@ -348,9 +355,8 @@ s AS (SELECT *, CAST(('0x' || substr(md5({EVENT_KEY} || '#36'), 1, 8)) AS BIGINT
 @query(f"WITH {SAMPLED} SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(conv_num AS VARCHAR) AS conv_num, CAST(label AS VARCHAR) AS label, CASE WHEN share < 0.7 THEN 'train' WHEN share < 0.7 + 0.15 THEN 'val' ELSE 'test' END AS split FROM s")
 def sampling_node(spark, sf_dir):
     """Label, cut to the positives' number, split, saved by split and read back."""
-    root = _folder(spark, "sampled")
-    path = f"{root}-in"
-    Scratch(spark, "x")  # the folder that in and out share goes at the end
+    folder = _folder(spark, "sampled")
+    path, root = f"{folder}/in", f"{folder}/out"
     sinks.save(table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 150).alias("conv_num")), path, "parquet")
     job = workflow.build_job(f"""<job name="j"><pipeline name="p"><node id="a" processor="load_table"><properties><property key="table" value="{path}"/></properties></node>
 <node id="b" processor="sampling"><properties><property key="label_source" value="conv_num"/><property key="output" value="{root}"/></properties><dependency><node id="a" input="df"/></dependency></node></pipeline></job>""")
@@ -568,6 +574,18 @@ def wide_spec_samples(spark, sf_dir):
     return every
 
 
+@query(f"WITH {WIDE_SQL} SELECT o_orderkey, label, balance, nation FROM wide")
+def wide_table_node(spark, sf_dir):
+    """The declared job as a node of a workflow, from a configuration file."""
+    folder = _folder(spark, "wide-node")
+    label = ((F.col("o_orderstatus") == "P") | (F.col("o_orderkey") % 5 == 0)).cast("long")
+    sinks.save(table(spark, sf_dir, "orders").withColumn("label", label), f"{folder}/labelled", "parquet")
+    sinks.save(_mappings(spark, sf_dir)["c_nationkey:c_custkey"], f"{folder}/map", "parquet")
+    write_small(spark, f"{folder}/spec.xml", WIDE_XML.replace("{dir}/labelled", f"{folder}/labelled").replace("{dir}", sf_dir).replace("{root}", "").replace("{task}", "predict"))
+    job = workflow.build_job(f"""<job name="j"><pipeline name="p"><node id="a" processor="wide_table"><properties><property key="config" value="{folder}/spec.xml"/><property key="mappings" value="c_nationkey:c_custkey={folder}/map"/></properties></node></pipeline></job>""")
+    return workflow.run_job(spark, lambda: job, {})["p"]["a"].select("o_orderkey", "label", "balance", "nation")
+
+
 @query(f"""WITH {bounds_sql(melt_sql('customer', ['c_acctbal']), 1000, 'c')}, {bounds_sql(melt_sql('orders', ['o_totalprice']), 1000, 'o')}
 SELECT 'bounds' AS kind, feature, CAST(len(b) AS BIGINT) AS n, CAST(list_aggregate(b, 'max') AS DOUBLE) AS top FROM c UNION ALL SELECT 'bounds', feature, len(b), CAST(list_aggregate(b, 'max') AS DOUBLE) FROM o
 UNION ALL SELECT 'index', 'c_mktsegment', count(DISTINCT c_mktsegment), CAST(count(DISTINCT c_mktsegment) - 1 AS DOUBLE) FROM customer UNION ALL SELECT 'index', 'o_orderpriority', count(DISTINCT o_orderpriority), CAST(count(DISTINCT o_orderpriority) - 1 AS DOUBLE) FROM orders""")
@@ -618,6 +636,8 @@ def _outcome(f) -> str:
         return "dependency error"
     except workflow.FlowError:
         return "flow error"
+    except ValueError:
+        return "value error"
 
 
 @query("""SELECT * FROM (VALUES ('node over workflow', '5'), ('command line over node', '6'), ('node on the command line', '7'), ('workflow', '4'), ('early end', 'completed terminated created'), ('failure', 'flow error'),
@@ -666,6 +686,7 @@ def time_functions(spark, sf_dir):
         at = times.parse(f"{day}1410")
         ms, utc = times.to_epoch_ms(times.parse(day), 8), times.to_epoch_ms(times.parse(day))
         assert times.granularity_of(f"{day}14") == g.HOUR and times.show(at, g.DAY) == day
+        assert times.require_aligned(ms, g.DAY) == ms and _outcome(lambda u=utc: times.require_aligned(u, g.DAY)) == "value error"
         first, last = times.window(utc, g.HOUR, 2, 3, 3, False)
         rows.append((
             day, times.back(day, g.MONTH, 3, 1), times.back(day, g.YEAR, 1, 2), times.back(day, g.WEEK, 2, 1), times.back(f"{day}00", g.HOUR, 1, 1), times.period_days(day, 40),

@@ -13,6 +13,8 @@ from ..operators import pretrain as P
 from ..operators import project, sample
 from ..operators.aggregate import pivot_extend
 from ..sources import partitions, sinks, text
+from . import wide
+from .spec import read_wide_spec
 from .workflow import Node, node
 
 
@@ -38,7 +40,9 @@ class LoadTable(Node):
         where = self.get("table")
         df = self.spark.read.parquet(where) if "/" in where else self.spark.table(where)
         part = self.get("partition_field", "-")
-        return df if part == "-" else partitions.load(df, part, self.get("partitions", "last"), self.get("dataTime", "")[:8])
+        df = df if part == "-" else partitions.load(df, part, self.get("partitions", "last"), self.get("dataTime", "")[:8])
+        times = self.get("partition_times", 0, int)
+        return df.repartition(partitions.parallelism(self.spark, times)) if times else df
 
 
 @node("sql")
@@ -83,6 +87,29 @@ class LearnBoundsAndIndex(Node):
         return bounds
 
 
+@node("learn_wide")
+class LearnWide(Node):
+    """Bounds and indices of the action table and of all feature tables of a wide-table specification, under root_path."""
+
+    takes = (0, 0)
+
+    def run(self) -> DataFrame:
+        written = wide.learn_artefacts(self.spark, read_wide_spec(text.read_config(self.spark, self.get("config"))), self.get("dataTime", "")[:8], self.get("root_path"))
+        return self.spark.createDataFrame([(p,) for p in written], "path string")
+
+
+@node("wide_table")
+class WideTable(Node):
+    """The wide table of a specification; id mappings by the entries `from:to=path` of `mappings`."""
+
+    takes = (0, 0)
+
+    def run(self) -> DataFrame:
+        items = [dict(zip(("id", "input"), m.split("=", 1), strict=True)) for m in self.names("mappings", "")]
+        root = self.get("root_path", "-")
+        return wide.run(self.spark, read_wide_spec(text.read_config(self.spark, self.get("config"))), self.get("dataTime", "")[:8], mappings=J.mapping_registry(self.spark, items), artefacts=None if root == "-" else root).frame
+
+
 @node("pivot")
 class Pivot(Node):
     takes = (1, 1)

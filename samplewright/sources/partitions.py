@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
@@ -12,6 +12,16 @@ from ..functions.times import period_days
 NEWEST = 230
 
 
+# What a cluster is taken to have where its settings don't say.
+EXECUTORS, CORES, TIMES = 600, 4, 2
+
+
+def parallelism(spark: SparkSession, times: int = TIMES) -> int:
+    """Partitions for a load: executors by cores by `times`."""
+    conf = spark.sparkContext.getConf()
+    return int(conf.get("spark.executor.instances", str(EXECUTORS))) * int(conf.get("spark.executor.cores", str(CORES))) * times
+
+
 def resolve(spec: str, today: str) -> list[str] | str:
     """`last` stays; `-1` is today's; others get the prefix p_."""
     if spec.strip() == "last":
