@@ -102,3 +102,36 @@ def test_wide_spec():
     assert spec.tables[0].from_id == "uid" and spec.tables[0].features[0].bins == 5 and spec.label_rate == 3
     with pytest.raises(ValueError):
         read_wide_spec("<config/>")
+
+
+WIDE = """<config><task_type name="{task}"/><sample><labelrate name="1"/><split><train name="0.5"/><test name="0.5"/></split><save_path><root_path name="{root}"/></save_path><save_type><is_Text>1</is_Text><is_LibSVM>1</is_LibSVM></save_type></sample>
+<action_data><input>{dir}/action</input><label_name name="label"/><ids><id name="uid"/></ids><context_features><feature feature_name="n" value_field="x" isdiscretize="1" discretize_argv="4" isencode="1"/></context_features></action_data>
+<feature_collect><feature_data norm_name="user" time="-1"><input>{dir}/user</input><features><feature feature_name="tags" value_field="t" feature_type="multi" top="2" operator="identity"/><feature feature_name="city" value_field="c" feature_type="category" isencode="1"/></features><id_conf id_field="uid"/></feature_data></feature_collect>
+<gen_feature><features name="comb_features"><feature name="both" dependencies="city|n"/></features><features name="id_features"><feature name="city"/><feature name="n"/><feature name="gone"/></features></gen_feature></config>"""
+
+
+def test_wide_job(spark, tmp_path):
+    from samplewright.plans import wide
+
+    where = str(tmp_path)
+    make = lambda rows, shape, name: spark.createDataFrame(rows, shape).write.parquet(f"{where}/{name}")
+    make([("1", float(v), v % 2) for v in range(1, 9)] + [("9", None, 1), (None, 3.0, 0)], "uid string, x double, label int", "action")
+    make([("1", "a:1,b:3,c:2", "rome", "p_20240102"), ("1", "z", "oslo", "p_20240102"), ("9", None, None, "p_20240102"), ("1", "old", "old", "p_20240101")], "uid string, t string, c string, part string", "user")
+    parsed = lambda task, root="": read_wide_spec(WIDE.replace("{task}", task).replace("{dir}", where).replace("{root}", root))
+    out = wide.run(spark, parsed("predict"), "20240102")
+    assert out.frame.columns == ["uid", "label", "city", "n", "both"]
+    rows = sorted(((r.uid or "", r.label, r.city or "", r.n, r.both or "") for r in out.frame.collect()), key=str)
+    # of two rows of one user one counts, whole; bins of 1..8 in fours, then ids of bins: "-1" (missing) first
+    assert len(rows) == 10 and {r[2] for r in rows if r[0] == "1"} in ({"0"}, {"1"}) and sum(r[0] == "9" for r in rows) == 1
+    assert [r[3] for r in rows if r[0] == "9"] == ["0"] and {r[3] for r in rows} == {"0", "1", "2", "3", "4"}
+    assert all((r[4] == f"{r[2]}_{r[3]}") == (r[2] != "") for r in rows)
+    # learned artefacts are used again
+    written = wide.learn_artefacts(spark, parsed("train"), "20240102", f"{where}/made", bins=4, few=0, least=0)
+    assert sorted(p.removeprefix(f"{where}/made/") for p in written) == ["discretize/action", "index/user"]
+    again = wide.build(spark, parsed("predict"), "20240102", artefacts=f"{where}/made")
+    assert sorted(again.frame.columns) == sorted(out.frame.columns) and again.dictionaries["user"].count() == 2
+    done = wide.run(spark, parsed("train", f"{where}/samples"), "20240102")
+    assert any(p.endswith("20240102train_text") for p in done.written) and spark.read.text(f"{where}/samples/20240102libsvm_map").count() > 0
+    with pytest.raises(ValueError, match="no column"):
+        make([("1",)], "other string", "bad")
+        wide.build(spark, read_wide_spec(WIDE.replace("{task}", "predict").replace("{dir}/user", f"{where}/bad").replace("{dir}", where).replace("{root}", "")), "20240102")
