@@ -1,7 +1,7 @@
 """Token counts by an exact length histogram (operator 10).
 
-Documents are encoded once and counted by encoded length; suffix sums over the
-histogram then answer, for every context limit, how many documents reach it,
+Documents are encoded once and counted by encoded length, which is written;
+suffix sums over the histogram then answer, for every context limit, how many documents reach it,
 how many tokens they hold and how many are left when each document is cut
 there, as well as totals and quantiles, without going back to the texts.
 
@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sparkio import Scratch
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Lengths are summed in groups of so many, then within them, so no task holds all.
 GROUP = 1024
@@ -53,7 +55,8 @@ def _lengths(path: str, text: str):
 def length_histogram(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> DataFrame:
     """(n_tokens, n_docs), one row for each length that occurs."""
     each = docs.select(text).mapInArrow(_lengths(ranks, text), "n_tokens long, n_docs long")
-    return each.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    counts = each.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return Scratch(docs.sparkSession, "lengths").save(counts, "histogram")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
@@ -61,6 +64,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     this length and their tokens) and truncated_total (tokens left when every
     document is cut to this length). Two levels of sums keep tasks small."""
     rows = histogram.withColumn("_g", F.floor(F.col("n_tokens") / GROUP)).withColumn("_t", F.col("n_tokens") * F.col("n_docs"))
+    # one row for each 1024 tokens of the longest text: few, whatever the number of documents
     after = Window.orderBy(F.col("_g").desc()).rowsBetween(Window.unboundedPreceding, -1)
     groups = rows.groupBy("_g").agg(F.sum("n_docs").alias("d"), F.sum("_t").alias("t"))
     total = F.sum("t").over(Window.partitionBy())
