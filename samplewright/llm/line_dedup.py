@@ -16,7 +16,8 @@ run of one repeated line the first two stay. Runs of white space alone stay.
 
 Nulls: a null text stays null, with no lines. Rows equal in doc_id and text
 are one document and keep the same lines. Null doc_ids come last. Other columns
-stay as they are. An empty table gives an empty result.
+stay as they are, but for those named like a result. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import repeats as R
 from . import seqhash as H
@@ -34,6 +37,7 @@ from .sparkio import Scratch, keyed, partitions_for
 
 #: A chunk ends after a line with a chance of 1 in so many.
 MEAN_LINES = 4
+HIT, SPELL = R.HIT, R.SPELL
 LEAST_LINES = 2
 
 
@@ -76,12 +80,9 @@ def _line_pairs(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray):
     """Pairs of adjoining lines, but for those inside one of the spans: these
     stand earlier, so they are not the first of their kind."""
     text, starts, ends, first = _lines(data, offs)
-    inside = np.zeros(len(data), np.int64)
-    n = 0
-    for i, spans in enumerate(batch.column("spans").to_pylist()):
-        for s in spans or ():
-            n += 1
-            inside[offs[i] + s["lo"] : offs[i] + s["lo"] + s["n"]] = n
+    inside = np.zeros(len(data), np.int32)
+    for n, (i, at, size) in enumerate(zip(*R.span_arrays(batch.column("spans")), strict=True)):
+        inside[offs[i] + at : offs[i] + at + size] = n + 1
     at = np.flatnonzero(~first[1:])
     text, lo, hi = text[at], starts[at], ends[at + 1]
     fit = (inside[lo] == 0) | (inside[lo] != inside[hi - 1])
@@ -120,7 +121,7 @@ def _chunk_rows(buckets: int, cut):
             for batch in R.pieces(big):
                 lead, hit = R.merged(_entries(batch, cut), both=False)
                 if len(hit):
-                    yield _listed(R.HIT, hit)
+                    yield _listed(HIT, hit)
                 if len(lead):
                     yield _with_group(R.dealt(lead, "anchor", buckets))
 
@@ -134,23 +135,27 @@ def _chunk_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     if entries:
         lead, hit = R.merged(np.concatenate(entries), both=False)
         if len(hit):
-            yield _listed(R.HIT, hit)
+            yield _listed(HIT, hit)
         twice = lead[lead["flags"] & R.TWICE > 0]
         if len(twice):
-            yield _listed(R.SPELL, twice)
+            yield _listed(SPELL, twice)
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chunks' own bytes, without a last line end; copies that overlap the first one in its text are left out."""
-    for b in batches:
-        data, offs = H.batch_bytes(b.column("text"))
-        rows = []
-        for i, (k, spans) in enumerate(zip(b.column("key").to_pylist(), b.column("spans").to_pylist(), strict=True)):
-            own = [(s["kind"], s["gid"], k, s["lo"], s["n"], data[offs[i] + s["lo"] : offs[i] + s["lo"] + s["n"]].tobytes().removesuffix(b"\n")) for s in spans]
-            ends = {(gid, chunk): lo + n for kind, gid, _, lo, n, chunk in own if kind == R.SPELL}
-            rows += [r for r in own if r[0] == R.SPELL or r[3] >= ends.get((r[1], r[5]), 0)]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["kind", "gid", "key", "lo", "n", "chunk"])
+    for big in batches:
+        for b in R.pieces(big):
+            data, offs = H.batch_bytes(b.column("text"))
+            raw, spans = data.tobytes(), b.column("spans")
+            text = np.repeat(np.arange(b.num_rows), pc.list_value_length(spans).to_numpy(zero_copy_only=False))
+            kind, gid, lo, n = (spans.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("kind", "gid", "lo", "n"))
+            start = offs[text] + lo
+            chunk = [raw[a:e].removesuffix(b"\n") for a, e in zip(start, start + n, strict=True)]
+            ends = {(text[i], gid[i], chunk[i]): lo[i] + n[i] for i in np.flatnonzero(kind == SPELL)}
+            take = np.array([k == SPELL or at >= ends.get((t, g, c), 0) for k, t, g, c, at in zip(kind, text, gid, chunk, lo, strict=True)], bool)
+            keys = b.column("key").to_numpy(zero_copy_only=False)[text]
+            columns = [pa.array(kind, pa.int32()), pa.array(gid, pa.int64()), pa.array(keys, pa.int64()), pa.array(lo, pa.int32()), pa.array(n, pa.int32()), pa.array(chunk, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "gid", "key", "lo", "n", "chunk"]).filter(pa.array(take))
 
 
 def _repeated(docs: DataFrame, cut, scratch: Scratch, name: str) -> DataFrame:
@@ -161,7 +166,7 @@ def _repeated(docs: DataFrame, cut, scratch: Scratch, name: str) -> DataFrame:
     spans = found.groupBy("key").agg(F.collect_list(F.struct("kind", "gid", "lo", "n")).alias("spans"))
     each = docs.select("key", "text").join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")
     each = scratch.save(each, f"{name}-bytes")
-    same = each.where(F.col("kind") == R.HIT)
+    same = each.where(F.col("kind") == HIT)
     # all copies of a group are equal, unless hashes collide: then each content has a first place of its own
     mixed = each.groupBy("gid").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a <> b").select("gid")
     mixed = scratch.save(mixed, f"{name}-mixed")
@@ -181,36 +186,42 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch, runs: bool = False) -> Da
     whole = _repeated(docs, _whole_chunks, scratch, "chunks")
     if not runs:
         return whole
-    spans = whole.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+    spans = R.spans_by_key(whole)
     rest = docs.join(spans.hint("merge"), "key", "left").select("key", "text", "spans")
     return whole.unionAll(_repeated(rest, _line_pairs, scratch, "pairs"))
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        data, offs = H.batch_bytes(b.column("text"))
-        null = np.asarray(b.column("text").is_null())
-        text, n_lines, removed, n_chunks = [], [], [], []
-        for i, spans in enumerate(b.column("spans").to_pylist()):
-            own = data[offs[i] : offs[i + 1]]
-            keep = np.ones(len(own), bool)
-            for s in spans or ():
-                keep[s["lo"] : s["lo"] + s["n"]] = False
-            edge = np.flatnonzero(np.diff(np.r_[True, keep, True].astype(np.int8)))
-            gone = 0
-            for lo, hi in edge.reshape(-1, 2):
-                if H.SPACE[own[lo:hi]].all():
-                    keep[lo:hi] = True
-                else:
-                    gone += 1
-            ends = own == 10
-            open_ = len(own) and not ends[-1]
-            n_lines.append(int(ends.sum()) + int(open_))
-            removed.append(int((ends & ~keep).sum()) + int(open_ and not keep[-1]))
-            n_chunks.append(gone)
-            text.append(None if null[i] else own[keep].tobytes().decode())
-        made = {"n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_chunks": pa.array(n_chunks, pa.int64()), "kept": pa.array(text, pa.string())}
-        yield pa.RecordBatch.from_arrays([b.column("key"), *made.values()], names=["key", *made])
+    for big in batches:
+        for b in R.pieces(big):
+            data, offs = H.batch_bytes(b.column("text"))
+            null = np.asarray(b.column("text").is_null())
+            row, lo, n = R.span_arrays(b.column("spans"))
+            edge = np.zeros(len(data) + 1, np.int32)
+            np.add.at(edge, offs[row] + lo, 1)
+            np.add.at(edge, offs[row] + lo + n, -1)
+            whole = np.cumsum(edge[:-1]) <= 0
+            text, n_lines, removed, n_chunks = [], [], [], []
+            for i in range(b.num_rows):
+                own, keep = data[offs[i] : offs[i + 1]], whole[offs[i] : offs[i + 1]]
+                gone = 0
+                for at, end in np.flatnonzero(np.diff(np.r_[True, keep, True].astype(np.int8))).reshape(-1, 2) if not keep.all() else ():
+                    if H.SPACE[own[at:end]].all():
+                        keep[at:end] = True
+                    else:
+                        gone += 1
+                ends = own == 10
+                open_ = len(own) and not ends[-1]
+                n_lines.append(int(ends.sum()) + int(open_))
+                removed.append(int((ends & ~keep).sum()) + int(open_ and not keep[-1]))
+                n_chunks.append(gone)
+                text.append(None if null[i] else own[keep].tobytes().decode() if gone else own.tobytes().decode())
+            made = {"n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_chunks": pa.array(n_chunks, pa.int64()), "kept": pa.array(text, pa.string())}
+            own = [b.column("rest")] if "rest" in b.schema.names else []
+            yield pa.RecordBatch.from_arrays([b.column("key"), *made.values(), *own], names=["key", *made, *(["rest"] if own else [])])
+
+
+LEFT = "key long, n_lines long, n_removed long, n_chunks long, kept string"
 
 
 def dedup_lines(docs: DataFrame, runs: bool = False) -> DataFrame:
@@ -220,22 +231,18 @@ def dedup_lines(docs: DataFrame, runs: bool = False) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "lines")
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
     removed = repeated_chunks(own, scratch, runs)
-    names = {"n_lines", "n_removed", "n_chunks", "kept", "key", "spans"}
-    spans = removed.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+    made = ["n_lines", "n_removed", "n_chunks", "kept"]
+    rest = [c for c in docs.columns if c not in (*made, "doc_id", "text")]
+    # the caller's other columns travel in one struct, out of the way of the names used here
+    carried = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("struct<none: int>")
+    back = [F.col(f"rest.`{c}`").alias(c) for c in rest]
+    spans = R.spans_by_key(removed)
     if rows is None:
-        rest = [c for c in docs.columns if c not in names and c not in ("doc_id", "text")]
-        whole = docs.select(F.col("doc_id").cast("long").alias("key"), "text", F.struct(*rest).alias("rest") if rest else F.lit(None).cast("struct<none:int>").alias("rest"))
-        out = whole.join(spans.hint("merge"), "key", "left").select("key", "text", "spans", "rest").mapInArrow(_left_with_rest, "key long, n_lines long, n_removed long, n_chunks long, kept string, rest " + whole.schema["rest"].dataType.simpleString())
-        back = [F.col(f"rest.`{c}`").alias(c) for c in rest]
-        return out.select(F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), *back, "n_lines", "n_removed", "n_chunks", "kept")
-    out = own.join(spans.hint("merge"), "key", "left").select("key", "text", "spans").mapInArrow(_left, "key long, n_lines long, n_removed long, n_chunks long, kept string")
+        whole = docs.select(F.col("doc_id").cast("long").alias("key"), "text", carried.alias("rest"))
+        schema = T.StructType([*T._parse_datatype_string(LEFT).fields, whole.schema["rest"]])
+        out = whole.join(spans.hint("merge"), "key", "left").select("key", "text", "spans", "rest").mapInArrow(_left, schema)
+        return out.select(F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), *back, *made)
+    out = own.join(spans.hint("merge"), "key", "left").select("key", "text", "spans").mapInArrow(_left, LEFT)
     match = own.withColumnRenamed("text", "_t").join(rows.distinct().withColumnRenamed("doc_id", "_i"), "key").join(out, "key").drop("key")
-    clean = docs.drop(*(names - {"text"}))
     same = F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("text").eqNullSafe(F.col("_t"))
-    return clean.join(match, same).drop("_i", "_t", "text")
-
-
-def _left_with_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for out in _left(iter([b])):
-            yield pa.RecordBatch.from_arrays([*out.columns, b.column("rest")], names=[*out.schema.names, "rest"])
+    return docs.select("doc_id", "text", carried.alias("rest")).join(match, same).select("doc_id", *back, *made)
