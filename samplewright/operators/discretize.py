@@ -22,7 +22,7 @@ def equi_freq(dist: DataFrame, num: int) -> DataFrame:
     reaches j widths. Where width is 0 the first num-1 values are bounds."""
     run = A.running(dist, "feature", "v", "c")
     level = F.when(F.col("tot") < num, num - 1).otherwise(F.least(F.lit(num - 1).cast("long"), F.expr(f"cum div greatest(tot div {num}, 1)")))
-    run = run.withColumn("f", level.cast("int"))
+    run = A.stored(run.select("feature", "v", "i", level.cast("int").alias("f")))
     first = run.where("f > 0").groupBy("feature", "f").agg(F.min("i").alias("t"))
     # a level that no value stops at is reached where the next one is
     last = Window.partitionBy("feature").orderBy("f")

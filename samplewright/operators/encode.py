@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMPTY_LIBSVM, MISSING, col, cross, multi_values
-from ..scratch import Scratch, numbered
+from ..scratch import numbered
 from . import aggregate as A
 from .join import lookup, unseen
 
@@ -17,7 +17,7 @@ DICTIONARY = "field string, value string, idx long"
 def ranked(df: DataFrame, group: str, order: list, name: str) -> DataFrame:
     """Rows numbered from 0 within their group, by one sort of all rows by
     ranges: a group that holds most rows is still many tasks."""
-    rows = Scratch(df.sparkSession, "ranked").save(numbered(df, [group, *order], "_at"), "rows")
+    rows = numbered(df, [group, *order], "_at")  # reads what it has written
     first = rows.groupBy(group).agg(F.min("_at").alias("_first"))
     return rows.join(first, group).withColumn(name, F.col("_at") - F.col("_first")).drop("_at", "_first")
 
@@ -56,7 +56,7 @@ def vocabulary(counts: DataFrame, known: DataFrame | None = None, least: int = 1
     """(field, token, cnt, idx): known tokens keep their ids; new ones in the
     frequency band get the next ids of their field, most frequent first."""
     if known is None:
-        known = counts.sparkSession.createDataFrame([], "field string, token string, idx long")
+        return ranked(counts.where(F.col("cnt").between(least, most)), "field", [F.desc("cnt"), "token"], "idx").select("field", "token", "cnt", "idx")
     old = known.select("field", "token", F.col("idx").cast("long").alias("_old"))
     top = old.groupBy("field").agg(F.max("_old").alias("_top"))
     marked = counts.join(old, ["field", "token"], "left")
