@@ -13,7 +13,7 @@ Nulls: a null text has size 0; a null source is a source of its own, after all
 others; a null doc_id hashes like any value. Rows equal in doc_id and text
 share their fate (their hash is one). Documents of size 0 take 0. An empty
 table gives an empty result. The driver holds one row for each source, not for
-documents.
+documents or buckets.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import seqhash as H
@@ -100,19 +100,21 @@ def mix_sources(docs: DataFrame, most: float = MOST, slack: float = SLACK, seed:
         edge = spark.createDataFrame([(s, under[s], under[s] + span) for s in active], shown)
         inside = sized.join(edge, sized.source.eqNullSafe(edge.source) & (F.col("hash") >= F.col("low")) & (F.col("hash") < F.col("high")))
         bucket = F.shiftright(F.col("hash") - F.col("low"), shift)
-        counts = inside.groupBy(sized.source, bucket.alias("bucket")).agg(F.sum("size").alias("size")).collect()
-        rows: dict = {s: {} for s in active}
-        for r in counts:
-            rows[r.source][r.bucket] = r.size
+        counts = inside.groupBy(sized.source, bucket.alias("bucket")).agg(F.sum("size").alias("size"))
+        # whole buckets are taken while they fit: the first that doesn't is the boundary
+        upto = Window.partitionBy("source").orderBy("bucket")  # at most 2**BITS rows
+        room = spark.createDataFrame([(s, float(left[s])) for s in active], "_s string, room double")
+        summed = counts.withColumn("upto", F.sum("size").over(upto)).join(room, F.col("source").eqNullSafe(F.col("_s")))
+        edges = summed.where(F.col("upto") > F.col("room")).groupBy("source").agg(F.min(F.struct("bucket", "upto", "size")).alias("e"))
+        found = {r.source: r.e for r in edges.collect()}
+        last = level == LEVELS - 1
         for s in list(active):
-            for b in range(1 << BITS):
-                got = rows[s].get(b, 0)
-                last = level == LEVELS - 1
-                if got <= left[s] or (last and got - left[s] < left[s]):  # one hash value: the nearer of with and without
-                    left[s] -= got
-                    under[s] += 1 << shift
-                else:
-                    break
+            e = found[s]
+            left[s] -= e.upto - e.size
+            under[s] += e.bucket << shift
+            if last and e.size - left[s] < left[s]:  # one hash value: the nearer of with and without
+                left[s] -= e.size
+                under[s] += 1
             if left[s] <= slack * goal[s] or last:
                 active.discard(s)
     plan = spark.createDataFrame([(s, sizes[s], float(goal[s]), whole[s], under[s]) for s in sizes], "source string, source_size long, target double, whole int, under long")
