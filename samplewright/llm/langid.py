@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import repeats as R
 from . import seqhash as H
@@ -157,8 +158,8 @@ def _predicted(model: Model):
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred, score and ambiguous (own columns of these names give way); needs `text`."""
     docs = docs.drop("lang_pred", "score", "ambiguous")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double, ambiguous boolean"
-    return docs.mapInArrow(_predicted(model), schema)
+    made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    return docs.mapInArrow(_predicted(model), T.StructType([*docs.schema.fields, *made]))
 
 
 def identify(docs: DataFrame) -> DataFrame:
