@@ -13,7 +13,8 @@ blocks. A url that no rule fits is allowed, as in every block list.
 
 Nulls: a null url, or one without `://`, has empty host and path, and no rule.
 Repeated rows each get their result; an empty table gives an empty result;
-columns of the pages other than the url are kept as they are.
+columns of the pages other than the four results are kept as they are, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ NO_RULE = "allow"
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(_url, instr(_url, '://') + 3)")).otherwise(F.lit(""))
+    rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise(F.lit(""))
     host = ascii_lower(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1))
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
@@ -67,8 +68,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     )
     # both sets are bounded by the longest host and the longest path of a rule
     shape = listed.agg(F.count("*").alias("n"), F.collect_set("_labels").alias("labels"), F.collect_set("_len").alias("lens")).head()
-    clean = pages.drop("host", "path", "rule", "verdict")
-    urls = clean.select(F.col(url).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    # the caller's columns travel in one struct, out of the way of the names used here
+    own = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{url}`").alias("_url"))
+    urls = own.select("_url").where(F.col("_url").isNotNull()).distinct()
     host, path = host_path(F.col("_url"))
     if not shape["n"]:
         listed = spark.createDataFrame([], "_short string, _full string, _rule string, _verdict string")
@@ -84,12 +87,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     found = asked.join(F.broadcast(side) if small else side, "_short").where("_asked = _full")
     best = found.groupBy("_url").agg(F.max(F.struct(F.length("_rule").alias("n"), F.col("_rule"), F.col("_verdict"))).alias("_best"))
     host, path = host_path(F.col("_url"))
-    return (
-        clean.withColumn("_url", F.col(url))
-        .join(best, "_url", "left")
-        .withColumns({"host": host, "path": path, "rule": F.col("_best._rule"), "verdict": F.coalesce("_best._verdict", F.lit(NO_RULE))})
-        .drop("_url", "_best")
-    )
+    shown = [F.col(f"row.`{c}`").alias(c) for c in keep]
+    return own.join(best, "_url", "left").select(*shown, host.alias("host"), path.alias("path"), F.col("_best._rule").alias("rule"), F.coalesce("_best._verdict", F.lit(NO_RULE)).alias("verdict"))
 
 
 SQL = r"""
