@@ -82,6 +82,15 @@ class Scratch:
         free_shuffles(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """A run's result, written; everything else that the run has written goes."""
+        out = self.save(df, name)
+        fs, root = filesystem(self.spark, self.root)
+        for other in fs.listStatus(root):
+            if other.getPath().getName() != name:
+                fs.delete(other.getPath(), True)
+        return out
+
     def drop(self, name: str) -> None:
         delete(self.spark, f"{self.root}/{name}")
 

@@ -423,6 +423,8 @@ class _Writer(DataSourceWriter):
                 fs.move(f"{side}/{m.name}", f"{folder}/{m.name}")
         for path in before:
             fs.delete_dir(path) if fs.get_file_info(path).type == pafs.FileType.Directory else fs.delete_file(path)
+        if self.overwrite:  # with what late tasks of failed jobs left
+            side = f"{folder}/_temporary"
         self._clean(fs, folder, side)
 
     def abort(self, messages):
