@@ -7,16 +7,22 @@ Two texts link when 100 * |x ∩ y| >= 75 * |x ∪ y| over their sets of distinc
 2. Prefix filter. Linked sets share at least l of each one's first
    |x|/4 + l shingles in any common order; sets with fewer such shingles that
    also occur elsewhere are done. Then all shingles of the sets that are left are
-   counted exactly, and the filter repeats in rarest-first order. No
-   shingle sends more than one entry for each batch in the first round.
+   counted exactly, and the filter repeats in rarest-first order. A shingle
+   sends one entry for each batch in the first round, then one for each bucket
+   of sets, however many sets hold it.
 3. What still shares a prefix shingle forms candidate clusters. In each, a
    signature tree is built: leaves are sets, ordered by size, with bitmaps of
    their shingles; inner nodes hold the OR and the AND of their
    children's bitmaps and the range of sizes. A dual traversal of the
    tree with itself drops node pairs whose greatest possible overlap
    cannot reach the threshold, and those already connected; the pairs of sets
-   that remain are intersected exactly. Clusters of over BLOCK sets are cut
-   into blocks by size and hash, and pairs of blocks are traversed instead.
+   that remain are intersected exactly.
+4. Clusters of over BLOCK sets settle in rounds. Two rounds cut them into
+   blocks by different hashes; a block's tree starts from what is connected
+   already. Near copies are one component then. Only sets outside their
+   cluster's largest component still meet all blocks of sizes that could
+   link, so a group of copies costs blocks, not pairs of blocks. Nothing is
+   skipped: two sets in one component need no test.
 
 Nulls: a null text, or one without words, has an empty set, links with nothing
 and is its own component. Fewer than 5 words: the whole sequence is
@@ -31,16 +37,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats as R
 from . import seqhash as H
 from .components import components
-from .sparkio import Scratch, by_doc_id, keyed, partitions_for
+from .sparkio import Scratch, buckets_for, by_doc_id, keyed, reduced
 
 K, SIMILAR = 5, 75
-BLOCK = 1024
+BLOCK = 256
 #: Words of 64 bits in a signature; sets of one leaf; children of a node.
 WIDTH, LEAF, FANOUT = 32, 16, 8
 SEPARATOR = H.SPACE
@@ -145,79 +152,128 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["sid", "tokens"])
 
 
-def _all_rows(buckets: int):
-    """(sid, tokens) to packed (token, sid, size of the set) of all tokens."""
+COUNTS = np.dtype([("token", "<u8"), ("home", "<i4"), ("n", "<i4")])
+HOLDERS = np.dtype([("token", "<u8"), ("sid", "<i8")])
+SHARED = "bucket int, sid long, tokens binary, packed binary"
+STARS = "a long, b long, bucket int, packed binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for at in range(0, big.num_rows, 500):
-                b = big.slice(at, 500)
-                sets = [np.frombuffer(x, H.U64) for x in b.column("tokens").to_pylist()]
-                size = np.array([len(s) for s in sets], np.int64)
-                e = np.zeros(size.sum(), R.ENTRY)
-                if len(e):
-                    e["anchor"], e["key"], e["lo"] = np.concatenate(sets), np.repeat(b.column("sid").to_numpy(), size), np.repeat(size, size)
-                    yield R.dealt(e, "anchor", buckets)
 
-    return run
+def _rows(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of that shape; columns not given are null."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    size = max(len(c) for c in columns.values())
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[n], kinds[t]) if n in columns else pa.nulls(size, kinds[t]) for n, t in fields], names=[n for n, _ in fields])
+
+
+def _spread(schema: str, entries: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Entries packed into one row for each bucket."""
+    order = np.argsort(at, kind="stable")
+    entries, at = entries[order], at[order]
+    cut = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
+    return _rows(schema, bucket=at[cut], packed=[R.pack(x) for x in np.split(entries, cut[1:])] if len(cut) else [])
+
+
+def _home(batches: Iterator[pa.RecordBatch]) -> tuple[int, list, list, list]:
+    """(bucket, [sid], [tokens], [packed]) of one home bucket."""
+    home, sids, sets, entries = 0, [], [], []
+    for b in batches:
+        for home, sid, tokens, packed in zip(*(b.column(c).to_pylist() for c in ("bucket", "sid", "tokens", "packed")), strict=True):
+            if packed is None:
+                sids.append(sid)
+                sets.append(np.frombuffer(tokens, H.U64))
+            else:
+                entries.append(packed)
+    return home, sids, sets, entries
+
 
+def _token_buckets(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    return R.buckets_of(H.mix(tokens * H.BASES[1]), buckets)
 
-def _frequencies(buckets: int):
-    """Tokens that two sets or more hold, with that number in `check`, dealt by set."""
+
+def _home_counts(buckets: int):
+    """Sets of a home bucket to how many of them hold each token, one entry for
+    all: a token of a third of all sets has as many entries as there are buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
-        if not entries:
-            return
-        e = np.concatenate(entries)
-        entries.clear()
-        e = e[np.argsort(e["anchor"], kind="stable")]
-        new = np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]
-        e["check"] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1]
-        e = e[e["check"] > 1]
-        if len(e):
-            yield R.dealt(e, "key", buckets)
+        home, _, sets, _ = _home(batches)
+        tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+        e = np.empty(len(tokens), COUNTS)
+        e["token"], e["home"], e["n"] = tokens, home, n
+        yield _spread(SHARED, e, _token_buckets(tokens, buckets))
 
     return run
 
 
-def _rare_rows(buckets: int):
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of tokens that two sets or more hold, the number of all sets that do, back to the home buckets."""
+    found = [R.unpack(x, COUNTS) for b in batches for x in b.column("packed").to_pylist()]
+    if not found:
+        return
+    e = np.concatenate(found)
+    found.clear()
+    e = e[np.argsort(e["token"], kind="stable")]
+    group = np.cumsum(np.r_[True, e["token"][1:] != e["token"][:-1]]) - 1
+    e["n"] = np.minimum(np.bincount(group, weights=e["n"]), 2**31 - 1)[group]
+    e = e[e["n"] > 1]
+    if len(e):
+        yield _spread(SHARED, e, e["home"])
+
+
+def _rare_holders(buckets: int):
     """Each set's rarest-first prefix, without the tokens that only it holds
-    (those come first), dealt by token."""
+    (those come first). Sets of one home that share a prefix token are edges;
+    of those one goes on to the token's bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
-        if not entries:
+        _, sids, sets, packed = _home(batches)
+        if not sets or not packed:
             return
-        e = np.concatenate(entries)
-        entries.clear()
-        e = e[np.lexsort((e["anchor"], e["check"], e["key"]))]
-        first = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]])
-        shared = np.diff(np.r_[first, len(e)])
-        n = e["lo"][first].astype(np.int64)
+        count = np.concatenate([R.unpack(x, COUNTS) for x in packed])
+        count = count[np.argsort(count["token"])]
+        n = np.array([len(x) for x in sets], np.int64)
+        token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+        at = np.minimum(np.searchsorted(count["token"], token), len(count) - 1)
+        known = count["token"][at] == token
+        token, owner, total = token[known], owner[known], count["n"][at][known]
+        order = np.lexsort((token, total, owner))
+        token, owner = token[order], owner[order]
+        shared = np.bincount(owner, minlength=len(sets))
+        first = np.cumsum(shared) - shared
         take = n - least_overlap(n) + 1 - (n - shared)
         take = np.where(shared >= least_overlap(n), np.maximum(take, 0), 0)
         at = np.repeat(first, take) + R._ramp(take)
-        if len(at):
-            kept = e[at]
-            kept["check"] = 0
-            yield R.dealt(kept, "anchor", buckets)
+        if not len(at):
+            return
+        e = np.empty(len(at), HOLDERS)
+        e["token"], e["sid"] = token[at], np.array(sids, np.int64)[owner[at]]
+        lead, pairs = _starred(e)
+        if len(pairs):
+            yield _rows(STARS, a=pairs[:, 0], b=pairs[:, 1])
+        yield _spread(STARS, lead, _token_buckets(lead["token"], buckets))
 
     return run
 
 
+def _starred(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the least holder of each token, edges of the others to it)."""
+    e = e[np.lexsort((e["sid"], e["token"]))]
+    new = np.r_[True, e["token"][1:] != e["token"][:-1]]
+    root = e["sid"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    far = e["sid"] != root
+    return e[new], np.unique(np.stack([e["sid"][far], root[far]], 1), axis=0)
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each token's sets, an edge to the least one."""
-    entries = [R.unpack(x) for b in batches for x in b.column("packed").to_pylist()]
-    if not entries:
-        return
-    e = np.concatenate(entries)
-    e = e[np.lexsort((e["key"], e["anchor"]))]
-    new = np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]
-    root = e["key"][np.flatnonzero(new)][np.cumsum(new) - 1]
-    far = e["key"] != root
-    pairs = np.unique(np.stack([e["key"][far], root[far]], 1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+    """Edges, and of each token's holders an edge to the least one."""
+    found = []
+    for b in batches:
+        edge = pc.is_valid(b.column("a"))
+        yield b.filter(edge).select(["a", "b"])
+        found += [R.unpack(x, HOLDERS) for x in b.filter(pc.invert(edge)).column("packed").to_pylist()]
+    if found:
+        pairs = _starred(np.concatenate(found))[1]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
 
 
 class Tree:
@@ -249,9 +305,10 @@ def _ones(bits) -> np.ndarray:
     return np.bitwise_count(bits).sum(-1, dtype=np.int64)
 
 
-def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links of left with right, or with itself;
-    nodes of right are numbered after those of left."""
+def links(left: Tree, right: Tree | None = None, known: list | None = None) -> list[int]:
+    """Roots that the links of left with right, or with itself, give the nodes;
+    nodes of right are numbered after those of left. known: a mark for each
+    node; nodes of one mark are connected from the start."""
     own = right is None
     right = left if own else right
     shift = 0 if own else len(left.sets)
@@ -263,7 +320,9 @@ def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
             i = root[i]
         return i
 
-    out = []
+    first: dict = {}
+    for i, mark in enumerate(known or ()):
+        root[i] = first.setdefault(mark, i)
     todo = [(len(left.levels) - 1, 0, len(right.levels) - 1, 0)]
     while todo:
         i, p, j, q = todo.pop()
@@ -275,16 +334,16 @@ def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
         most = min(x[5] - _ones(x[3] & ~y[2]), y[5] - _ones(y[3] & ~x[2]))
         if not enough(min(most, x[5], y[5]), x[4], y[4]):
             continue
+        (a, b), (c, d) = x[:2], y[:2]
+        one = find(a)
+        if all(find(k) == one for k in range(a, b)) and all(find(k + shift) == one for k in range(c, d)):
+            continue
         if i or j:
             if i >= j and i:
                 todo += [(i - 1, c, j, q) for c in range(p * FANOUT, min(p * FANOUT + FANOUT, len(left.levels[i - 1])))]
             else:
                 todo += [(i, p, j - 1, c) for c in range(q * FANOUT, min(q * FANOUT + FANOUT, len(right.levels[j - 1])))]
             continue
-        (a, b), (c, d) = x[:2], y[:2]
-        known = {find(k) for k in range(a, b)} | {find(k + shift) for k in range(c, d)}
-        if len(known) == 1:
-            continue
         bx, by = left.bits[a:b, None], right.bits[None, c:d]
         sx, sy = left.size[a:b, None], right.size[None, c:d]
         bound = np.minimum(sx - _ones(bx & ~by), sy - _ones(by & ~bx))
@@ -295,53 +354,89 @@ def links(left: Tree, right: Tree | None = None) -> list[tuple[int, int]]:
             s, t = left.sets[u], right.sets[v]
             if enough(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t)):
                 root[find(u)] = find(v + shift)
-                out.append((u, v + shift))
-    return out
+    return [find(i) for i in range(len(root))]
 
 
-def _joined(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """One cluster, or one pair of blocks (side 0 and 1), to forest edges of set ids."""
+def _joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One block, or one pair of blocks (side 0 and 1), to edges (a, b): marks of
+    sets that are connected now, each to the least of its component."""
     pdf = pdf.sort_values(["side", "n", "sid"])
-    sets = [np.frombuffer(x, H.U64) for x in pdf["tokens"]]
-    ids = pdf["sid"].to_numpy()
+    sets, marks = [np.frombuffer(x, H.U64) for x in pdf["tokens"]], pdf["mark"].tolist()
     cut = int((pdf["side"] == 0).sum())
-    if not sets:
-        pairs = []
-    elif cut == len(sets):
-        pairs = links(Tree(sets))
+    roots = []
+    if cut == len(sets) and cut:
+        roots = links(Tree(sets), None, marks)
     elif cut:
-        pairs = links(Tree(sets[:cut]), Tree(sets[cut:]))
-    else:
-        pairs = []
-    return pd.DataFrame({"a": [ids[a] for a, _ in pairs], "b": [ids[b] for _, b in pairs]}, dtype="int64")
+        roots = links(Tree(sets[:cut]), Tree(sets[cut:]), marks)
+    least: dict = {}
+    for r, mark in zip(roots, marks, strict=False):
+        least[r] = min(least.get(r, mark), mark)
+    edges = {(mark, least[r]) for r, mark in zip(roots, marks, strict=False) if mark != least[r]}
+    return pd.DataFrame(sorted(edges), columns=["a", "b"], dtype="int64")
 
 
-def blocked(members: DataFrame) -> DataFrame:
-    """members (sid, n, label) to (task, side, sid, n): each cluster of up to
-    BLOCK sets is a task; of larger ones, each pair of blocks that sizes allow."""
-    count = members.groupBy("label").agg(F.count("*").alias("c"))
+def _met(tasks: DataFrame) -> DataFrame:
+    """tasks (task, side, sid, n, mark, tokens) to edges of marks."""
+    return tasks.groupBy("task").applyInPandas(_joined, "a long, b long")
+
+
+def _by_hash(sets: DataFrame, seed: int) -> DataFrame:
+    """Blocks of clusters by a hash of the set."""
+    block = F.pmod(F.xxhash64("sid", F.lit(seed)), F.ceil(F.col("c") / BLOCK))
+    return sets.select(F.concat_ws(":", "label", block).alias("task"), F.lit(0).alias("side"), "sid", "n", "mark", *[c for c in sets.columns if c == "tokens"])
+
+
+def _rest_with_all(large: DataFrame) -> DataFrame:
+    """Pairs of blocks: sets outside their cluster's largest component with all
+    sets of the cluster whose sizes can link, by levels of size."""
+    size = large.groupBy("label", "mark").agg(F.count("*").alias("k"))
+    top = size.groupBy("label").agg(F.max(F.struct("k", "mark")).alias("top")).select("label", F.col("top.mark").alias("most"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SIMILAR)) + 1e-9).cast("int")
-    sized = members.join(count, "label")
-    small = sized.where(F.col("c") <= BLOCK).select(F.concat_ws(":", "label").alias("task"), F.lit(0).alias("side"), "sid", "n")
-    large = sized.where(F.col("c") > BLOCK).withColumn("level", level)
-    levels = large.groupBy("label", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    large = large.join(levels, ["label", "level"]).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts").cast("long")).cast("int"))
-    blocks = levels.select("label", "level", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    left = blocks.toDF("label", "la", "pa")
-    right = blocks.toDF("label", "lb", "pb")
-    pairs = left.join(right, "label").where("(lb = la and pb >= pa) or lb = la + 1")
-    task = F.concat_ws(":", "label", "la", "pa", "lb", "pb")
-    pairs = pairs.select("label", "la", "pa", "lb", "pb", task.alias("task"))
-    sides = pairs.select("label", F.col("la").alias("level"), F.col("pa").alias("part"), "task", F.lit(0).alias("side")).unionAll(
-        pairs.where("not (la = lb and pa = pb)").select("label", F.col("lb"), F.col("pb"), "task", F.lit(1))
-    )
-    return small.unionAll(large.join(sides, ["label", "level", "part"]).select("task", "side", "sid", "n"))
+    every = large.withColumn("level", level).join(top, "label")
+    rest = every.where("mark <> most")
+
+    def cut(sets: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+        parts = sets.groupBy("label", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+        placed = sets.join(parts, ["label", "level"]).withColumn("part", F.pmod(F.xxhash64("sid", F.lit(seed)), F.col("parts").cast("long")).cast("int"))
+        return placed, parts.select("label", "level", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    (left, some), (right, others) = cut(rest, 3), cut(every, 4)
+    pairs = some.toDF("label", "la", "pa").join(others.toDF("label", "lb", "pb"), "label").where("abs(lb - la) <= 1")
+    pairs = pairs.select("label", "la", "pa", "lb", "pb", F.concat_ws(":", "label", "la", "pa", "lb", "pb").alias("task"))
+    side = lambda sets, lv, pt, n: sets.join(pairs.select("label", F.col(lv).alias("level"), F.col(pt).alias("part"), "task"), ["label", "level", "part"]).select("task", F.lit(n).alias("side"), "sid", "n", "mark")
+    return side(left, "la", "pa", 0).unionAll(side(right, "lb", "pb", 1))
+
+
+def _marked(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """sets with their marks replaced by the components that labels (node, label) give them."""
+    names = labels.select(F.col("node").alias("mark"), F.col("label").alias("_new"))
+    return sets.join(names, "mark", "left").withColumn("mark", F.coalesce("_new", "mark")).drop("_new")
+
+
+def linked(members: DataFrame, alive: DataFrame, scratch: Scratch) -> DataFrame:
+    """members (sid, n, label): sets and their candidate cluster; alive (sid,
+    tokens) → edges (a, b) whose components are those of all links."""
+    count = members.groupBy("label").agg(F.count("*").alias("c"))
+    sized = scratch.save(members.join(count, "label").join(alive.hint("merge"), "sid").withColumn("mark", F.col("sid")), "sized")
+    edges = scratch.save(_met(_by_hash(sized, 1)), "edges-1")
+    crowded = sized.where(F.col("c") > BLOCK)
+    if not crowded.limit(1).count():
+        return edges
+    # texts' tokens join at the end, alike at every size; what is planned before is narrow
+    tokens = crowded.select("sid", "tokens").hint("merge")
+    large = crowded.drop("tokens")
+    # in the first round each set is in one block, so its edge leads to its component's name
+    first = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    large = scratch.save(_marked(large, first), "large-1")
+    again = scratch.save(_met(_by_hash(large, 2).join(tokens, "sid")), "edges-2")
+    large = scratch.save(_marked(large, components(again, scratch, "blocks")), "large-2")
+    return edges.unionAll(again).unionAll(scratch.save(_met(_rest_with_all(large).join(tokens, "sid")), "edges-3"))
 
 
 def keyed_components(own: DataFrame, scratch: Scratch) -> DataFrame:
     """own (key, text), a row for each document → key, n_shingles, component (the smallest key in it)."""
-    parts = partitions_for(own)
-    found = own.mapInArrow(_prefix_rows(parts), SIZES).repartition(parts, "bucket").mapInArrow(_prefix_counts, SIZES)
+    parts = buckets_for(own)
+    found = reduced(own.mapInArrow(_prefix_rows(parts), SIZES), parts, _prefix_counts, SIZES)
     found = scratch.save(found.select("kind", "key", "n", "d1", "d2"), "prefixes")
     each = found.where(F.col("kind") == R.SPELL).select("key", "n", "d1", "d2")
     sets = each.where("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("sid"), F.first("n").alias("n"))
@@ -349,16 +444,17 @@ def keyed_components(own: DataFrame, scratch: Scratch) -> DataFrame:
     alive = sets.join(shared, "d1").where(F.col("c") >= F.ceil(F.col("n") / 16)).select("sid", "n")
     alive = scratch.save(own.join(alive.withColumnRenamed("sid", "key"), "key").select("key", "text").mapInArrow(_set_rows, "sid long, tokens binary"), "sets")
 
-    tokens = alive.mapInArrow(_all_rows(parts), R.ROWS)
-    for reduce in (_frequencies(parts), _rare_rows(parts)):
-        tokens = R.shuffled(tokens, parts, reduce)
-    edges = tokens.repartition(parts, "bucket").mapInArrow(_stars, "a long, b long")
+    home = F.pmod(F.xxhash64("sid"), F.lit(parts)).cast("int").alias("bucket")
+    homes = alive.select(home, "sid", "tokens", F.lit(None).cast("binary").alias("packed"))
+    totals = reduced(reduced(homes, parts, _home_counts(parts), SHARED), parts, _totals, SHARED)
+    holders = reduced(homes.unionAll(totals), parts, _rare_holders(parts), STARS)
+    spot = F.coalesce("bucket", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).cast("int")).alias("bucket")
+    edges = reduced(holders.select("a", "b", spot, "packed"), parts, _stars, "a long, b long")
     n = (F.octet_length("tokens") / 8).cast("int").alias("n")
     clusters = components(edges, scratch, "candidates")
 
     members = scratch.save(alive.select("sid", n).join(clusters.withColumnRenamed("node", "sid"), "sid"), "members")
-    tasks = blocked(members).join(alive, "sid").groupBy("task").applyInPandas(_joined, "a long, b long")
-    label = components(tasks, scratch, "links").select(F.col("node").alias("sid"), F.col("label").alias("component"))
+    label = components(linked(members, alive, scratch), scratch, "links").select(F.col("node").alias("sid"), F.col("label").alias("component"))
     named = sets.select("d1", "d2", "sid").join(label, "sid", "left").select("d1", "d2", F.coalesce("component", "sid").alias("component"))
     return each.join(named, ["d1", "d2"], "left").select("key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key")).alias("component"))
 
@@ -369,6 +465,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
     out = keyed_components(own, scratch)
     if rows is None:
-        return out.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+        return scratch.finish(out.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")))
     names = rows.distinct().select(F.col("key").alias("component"), F.col("doc_id").alias("component_id"))
-    return by_doc_id(out.join(names, "component").select("key", "n_shingles", "component_id"), rows)
+    return scratch.finish(by_doc_id(out.join(names, "component").select("key", "n_shingles", "component_id"), rows))

@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import seqhash as H
-from .sparkio import Scratch, free_shuffles, partitions_for
+from .sparkio import Scratch, buckets_for, free_shuffles, reduced
 
 #: Bytes handled by one round of array passes; a longer text is cut into
 #: overlapping pieces, which changes blocks but never which windows repeat.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Windows that are spelled out at a time.
 SPELLED = 1 << 18
 
@@ -129,6 +129,7 @@ def pieces(batch: pa.RecordBatch, piece: int = PIECE) -> Iterator[tuple[np.ndarr
     cut = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
     for a, b in zip(cut, np.r_[cut[1:], len(at)], strict=True):
         yield batch.slice(a, b - a)
+    H.trim()
 
 
 def valid_starts(first: np.ndarray, n: int, total: int) -> np.ndarray:
@@ -351,18 +352,14 @@ def merge_content(n: int, both: bool):
     return run
 
 
-def shuffled(rows: DataFrame, parts: int, reduce) -> DataFrame:
-    return rows.repartition(parts, "bucket").mapInArrow(reduce, ROWS)
-
-
 def repeats(docs: DataFrame, n: int, w: int, both: bool, scratch: Scratch) -> DataFrame:
     """(key, lo, n): runs of n windows from byte lo on that repeat. docs: (key, text)."""
-    parts = partitions_for(docs)
+    parts = buckets_for(docs)
     rows = docs.mapInArrow(block_rows(n, w, parts, both), ROWS)
-    found = scratch.save(shuffled(rows, parts, merge_blocks(both)).select("kind", "key", "lo", "n"), "blocks")
+    found = scratch.save(reduced(rows, parts, merge_blocks(both), ROWS).select("kind", "key", "lo", "n"), "blocks")
     spans = spans_by_key(found.where(F.col("kind") == SPELL))
     rows = docs.join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(content_rows(n, w, parts), ROWS)
-    windows = scratch.save(shuffled(rows, parts, merge_content(n, both)).select("key", "lo", "n"), "windows")
+    windows = scratch.save(reduced(rows, parts, merge_content(n, both), ROWS).select("key", "lo", "n"), "windows")
     return found.where(F.col("kind") == HIT).select("key", "lo", "n").unionAll(windows)
 
 

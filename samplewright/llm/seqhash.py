@@ -8,6 +8,9 @@ fixed multiple of the batch's bytes.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import pyarrow as pa
 
@@ -17,6 +20,17 @@ BASES = (U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03))
 _MIX = U64(0xFF51AFD7ED558CCD)
 
 
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+
+
+def trim() -> None:
+    """Gives memory that is free back to the system: Python workers wait for
+    other tasks between theirs, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the entropy of 64-bit values over all bits."""
     h = h ^ (h >> U64(33))

@@ -3,15 +3,22 @@ shuffles, and one key for each document."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch, delete, free_shuffles, numbered, read_small, write_small
+from .seqhash import trim
 
-__all__ = ["Scratch", "ascii_lower", "by_doc_id", "delete", "free_shuffles", "keyed", "partitions_for", "read", "read_small", "write_small"]
+__all__ = ["Scratch", "ascii_lower", "buckets_for", "by_doc_id", "delete", "free_shuffles", "keyed", "read", "read_small", "reduced", "write_small"]
 
-#: A shuffle partition is planned for about so many bytes of scanned input.
-BYTES_PER_PARTITION = 4 << 20
+#: A bucket of packed entries is planned for about so many bytes of scanned input; its reducer holds one.
+BUCKET_BYTES = 4 << 20
+#: Tasks of one shuffle, at most: beyond it a task takes several buckets, one after another.
+MOST_TASKS = 50_000
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -20,13 +27,38 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(size))
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Shuffle partitions: the session's number, or more for a large input."""
+def buckets_for(df: DataFrame) -> int:
+    """Buckets: the session's shuffle partitions, or more for a large input, without a bound."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = input_bytes(df)
     if size > 1 << 60:  # no statistics
         return least
-    return max(least, size // BYTES_PER_PARTITION)
+    return max(least, size // BUCKET_BYTES)
+
+
+def reduced(rows: DataFrame, buckets: int, reduce, schema) -> DataFrame:
+    """rows (bucket, …) dealt by bucket; reduce (batches to batches) sees one bucket at a time, in order."""
+    return rows.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket").mapInArrow(one_by_one(reduce), schema)
+
+
+def one_by_one(reduce):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for b in batches:
+            bucket = b.column("bucket").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+            for lo, hi in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+                if held and bucket[lo] != now:
+                    yield from reduce(iter(held))
+                    held = []
+                now = bucket[lo]
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from reduce(iter(held))
+        held.clear()
+        trim()
+
+    return run
 
 
 def keyed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:

@@ -59,4 +59,4 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, te
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     out = R.with_hits(own, hits).select("key", "text", "spans").mapInArrow(_kept(window, texts), schema)
     out = by_doc_id(out if texts else out.drop("kept"), rows)
-    return scratch.save(out, "result")
+    return scratch.finish(out)

@@ -37,14 +37,12 @@ from pyspark.sql import functions as F
 
 from . import repeats as R
 from . import seqhash as H
-from .sparkio import Scratch, by_doc_id, delete, keyed, partitions_for, read_small, write_small
+from .sparkio import Scratch, buckets_for, by_doc_id, delete, keyed, read_small, write_small
 
 WINDOW, GRAM = 35, 16
 #: Low bits of a gram's hash that give way to its place, so the leftmost of equal ones is the least.
 PLACE_BITS = H.U64(22)
 HIT, SPELL = 0, 1
-#: Bytes handled by one round of array passes.
-PIECE = 1 << 18
 
 PLACES = pa.list_(pa.struct([("key", pa.int64()), ("lo", pa.int32())]))
 ENTRIES = "anchor long, c1 long, c2 long, key long, lo int, n int, more array<struct<key: long, lo: int>>"
@@ -104,7 +102,7 @@ def _cut(a: np.ndarray, b: np.ndarray, first: np.ndarray, keys: np.ndarray, n: i
 def _block_rows(n: int, w: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in R.pieces(big, PIECE):
+            for batch in R.pieces(big):
                 keys = batch.column("key").to_numpy(zero_copy_only=False)
                 a, b, first = word_codes(*H.batch_bytes(batch.column("text")))
                 for x, y, f, k, shift in _cut(a, b, first, keys, n):
@@ -120,7 +118,7 @@ def _window_rows(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in R.pieces(big, PIECE):
+            for batch in R.pieces(big):
                 keys = batch.column("key").to_numpy(zero_copy_only=False)
                 a, b, first = word_codes(*H.batch_bytes(batch.column("text")))
                 text, lo, m = R.span_arrays(batch.column("spans"))
@@ -258,7 +256,9 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batch
     spark = docs.sparkSession
     scratch = Scratch(spark, "windows")
     own, rows = keyed(docs.select("doc_id", "text"), scratch)
-    index = FingerprintIndex(spark, f"{scratch.root}/index", partitions_for(own), window, gram, fanout)
+    # a table's buckets are Spark's to bound; rows are sorted and spilled, so a large bucket needs no more memory
+    buckets = min(buckets_for(own), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    index = FingerprintIndex(spark, f"{scratch.root}/index", buckets, window, gram, fanout)
     delivery = F.pmod(F.xxhash64("key"), F.lit(batches))
     found = [index.add(own.where(delivery == i), own.where(delivery <= i), scratch) for i in range(batches)]
     index.close()
@@ -268,4 +268,4 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batch
     schema = "key long, n_words long, n_removed long, kept_sha256 string, kept string"
     out = R.with_hits(own, hits).select("key", "text", "spans").mapInArrow(_kept(window, texts), schema)
     out = by_doc_id(out if texts else out.drop("kept"), rows)
-    return scratch.save(out, "result")
+    return scratch.finish(out)

@@ -74,3 +74,28 @@ def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.label for r in components(edges, Scratch(spark, "t"), "c").collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_thue_morse_words_are_different(spark):
+    a, b = ("".join(letters[bin(i).count("1") % 2] for i in range(1024)) for letters in ("ab", "ba"))
+    assert result(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")) == {1: (1, 1), 2: (1, 2)}
+
+
+def test_large_clusters_settle_in_few_tasks(spark, monkeypatch):
+    """Near copies of one text, a chain at its edge, and a far text that shares words: every pair of blocks would be 190 tasks."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(600):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    docs += [(1000 + k, " ".join(base[: 120 - 2 * k] + [f"y{k}-{j}" for j in range(2 * k)])) for k in range(1, 20)]
+    docs.append((2000, " ".join(base[:60])))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    tasks, real = [], J._met
+    monkeypatch.setattr(J, "_met", lambda t: (tasks.append(t.select("task").distinct().count()), real(t))[1])
+    monkeypatch.setattr(J, "BLOCK", 32)
+    assert result(df) == brute(docs)
+    assert len(tasks) == 3 and tasks[0] <= 30 and tasks[1] <= 30 and tasks[2] <= 120, tasks
