@@ -1,18 +1,19 @@
 """Benchmark decontamination with a distributed positional inverted index
 (operator 8), in DataFrame functions only.
 
-The index stores postings (term, document, position) of the training texts,
-with the words around each position, for the terms that the search needs: of
-every benchmark window (10 consecutive words; a shorter item is one window)
-the two terms that are rarest in the training texts, counted over all of
-them. A window's two lists are shifted by the terms' places in the window
-and intersected on (document, start); what is left is compared word by word.
+The index stores postings (term, document, position) of the training texts
+for the terms that the search needs: of every benchmark window (10 consecutive
+words; a shorter item is one window) the two terms that are rarest in the
+training texts, counted over all of them. A window's two lists are shifted by
+the terms' places in the window and intersected on (document, start); the
+places that are left are compared word by word with their documents.
 `proximity_matches` asks the same lists for the two terms near each other in
 any order.
 
 Terms of the benchmark are broadcast up to BROADCAST_TERMS, beyond that joined
-by a shuffle. Postings of one term never gather in one task: they are hashed
-by document.
+by a shuffle in which a document's hash splits every term over SALT tasks, so a
+frequent term isn't one task. Counts are summed before they are shuffled.
+Postings of one term never gather in one task: they are hashed by document.
 
 Nulls: null texts have no words; null item_ids are left out of the item lists but
 their windows count as hits. Rows equal in doc_id and text are one document.
@@ -30,6 +31,7 @@ from .sparkio import Scratch, ascii_lower
 WINDOW = 10
 #: Terms that may be sent to every executor: with their counts some 10 MB.
 BROADCAST_TERMS = 100_000
+SALT = 64
 #: What stands between words; A-Z are lower-cased word by word.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Stands for the end of a document in its index; no word has a blank.
@@ -65,6 +67,14 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_TERMS else df
 
 
+def _of_terms(each: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
+    """Words (k1, …, term) that are among the terms."""
+    if rows <= BROADCAST_TERMS:
+        return each.join(F.broadcast(terms), "term")
+    salted = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return each.withColumn("salt", F.pmod("k1", F.lit(SALT)).cast("int")).join(salted, ["term", "salt"]).drop("salt")
+
+
 def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """(w, win): the benchmark's different windows, and (w, item_id) of each item."""
     items = benchmark.select("item_id", words(F.col("text")).alias("t")).where(F.size("t") > 0)
@@ -75,22 +85,20 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
 def term_counts(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
     """(term, n): how often each of the terms stands in all documents."""
     each = docs.select(F.explode(parts(F.col("text"))).alias("word")).select(lower(F.col("word")).alias("term"))
-    seen = each.join(_small(terms, rows), "term").groupBy("term").agg(F.count("*").alias("n"))
+    if rows <= BROADCAST_TERMS:
+        each = each.join(F.broadcast(terms), "term")
+    seen = each.groupBy("term").agg(F.count("*").alias("n"))
     return terms.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def postings(docs: DataFrame, terms: DataFrame, rows: int, around: int) -> DataFrame:
-    """The index: (term, k1, k2, doc_id, pos, empties, before, ctx), pos from 0;
-    ctx: up to `around` words on each side, `before` of them before pos. Each
-    document also has a row of the term END, whose pos is the number of its parts."""
-    tokens = docs.select("k1", "k2", "doc_id", F.array_append(parts(F.col("text")), F.lit(END)).alias("t"))
-    each = tokens.select("k1", "k2", "doc_id", "t", F.posexplode("t").alias("pos", "word")).withColumn("term", lower(F.col("word")))
-    before = F.least(F.col("pos"), F.lit(around))
+def postings(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
+    """The index: (term, k1, k2, doc_id, pos, n_words), pos from 0. Each
+    document also has a row of the term END."""
+    cut = docs.select("k1", "k2", "doc_id", parts(F.col("text")).alias("p"))
+    own = cut.select("k1", "k2", "doc_id", (F.size("p") - empties(F.col("p"))).alias("n_words"), F.array_append("p", F.lit(END)).alias("t"))
+    each = own.select("k1", "k2", "doc_id", "n_words", F.posexplode("t").alias("pos", "word")).withColumn("term", lower(F.col("word")))
     wanted = terms.unionAll(docs.sparkSession.range(1).select(F.lit(END).alias("term")))
-    found = each.join(_small(wanted, rows), "term")
-    ctx = F.transform(F.slice("t", F.col("pos") - before + 1, before + around + 1), lower)
-    skipped = F.when(F.col("term") == END, empties(F.slice("t", F.lit(1), F.col("pos")))).cast("int")
-    return found.select("term", "k1", "k2", "doc_id", "pos", skipped.alias("empties"), before.alias("before"), F.when(F.col("term") != END, ctx).alias("ctx"))
+    return _of_terms(each, wanted, rows).select("term", "k1", "k2", "doc_id", "pos", "n_words")
 
 
 def build(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, width: int = WINDOW):
@@ -105,21 +113,25 @@ def build(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, width: int =
     ranked = places.join(_small(counts, n_terms), "term").groupBy("win").agg(F.sort_array(F.collect_list(F.struct("n", "term", "at"))).alias("r"))  # at most `width` terms
     chosen = scratch.save(ranked.select("win", F.col("r")[0].alias("a"), F.get("r", F.lit(1)).alias("b")), "chosen")
     wanted = chosen.select(F.explode(F.array_compact(F.array("a.term", "b.term"))).alias("term")).distinct()
-    index = scratch.save(postings(keyed, wanted, n_terms, width - 1), "index")
+    index = scratch.save(postings(keyed, wanted, n_terms), "index")
     return keyed, wins, chosen, index
 
 
-def phrase_matches(chosen: DataFrame, index: DataFrame) -> DataFrame:
+def phrase_matches(keyed: DataFrame, chosen: DataFrame, index: DataFrame) -> DataFrame:
     """(k1, k2, win, start): every place where a window stands, word by word."""
     first = index.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_TERMS else chosen, F.col("term") == F.col("a.term"))
-    first = first.select("k1", "k2", "win", "b", (F.col("pos") - F.col("a.at")).alias("start"), F.slice("ctx", F.greatest(F.col("before") - F.col("a.at") + 1, F.lit(1)), F.size("win")).alias("here")).where((F.col("start") >= 0))
+    first = first.select("k1", "k2", "win", "b", (F.col("pos") - F.col("a.at")).alias("start")).where(F.col("start") >= 0)
     # of the second lists only places that a first list leaves are asked for
     places = index.select("k1", "k2", F.col("term").alias("t2"), F.col("pos").alias("p2"))
     alone = first.where(F.col("b").isNull())
     two = first.where(F.col("b").isNotNull()).withColumns({"t2": F.col("b.term"), "p2": F.col("start") + F.col("b.at")})
     both = two.join(places, ["k1", "k2", "t2", "p2"], "left_semi")
-    out = alone.select("k1", "k2", "win", "start", "here").unionAll(both.select("k1", "k2", "win", "start", "here"))
-    return out.where("here = win").select("k1", "k2", "win", "start")
+    left = alone.select("k1", "k2", "win", "start").unionAll(both.select("k1", "k2", "win", "start"))
+    by_doc = left.groupBy("k1", "k2").agg(F.collect_set(F.struct("win", "start")).alias("left"))
+    # only the texts of these documents are cut again, alike at every size
+    cut = keyed.select("k1", "k2", "text").join(by_doc.hint("merge"), ["k1", "k2"]).select("k1", "k2", "left", parts(F.col("text")).alias("p"))
+    here = lambda x: F.transform(F.slice("p", x["start"] + 1, F.size(x["win"])), lower) == x["win"]
+    return cut.select("k1", "k2", F.explode(F.filter("left", here)).alias("x")).select("k1", "k2", "x.win", "x.start")
 
 
 def proximity_matches(chosen: DataFrame, index: DataFrame, slop: int) -> DataFrame:
@@ -141,8 +153,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 def keyed_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """As decontaminate, with the key (k1, k2) of each row."""
     scratch = Scratch(docs.sparkSession, "decontam")
-    _, wins, chosen, index = build(docs, benchmark, scratch, width)
-    found = scratch.save(phrase_matches(chosen, index), "matches")
+    keyed, wins, chosen, index = build(docs, benchmark, scratch, width)
+    found = scratch.save(phrase_matches(keyed, chosen, index), "matches")
     # words covered: runs of the windows' starts, merged in order within a document
     spans = found.select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.size("win")).alias("hi")).distinct()
     covered = spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("s"))  # no longer than the document
@@ -152,7 +164,7 @@ def keyed_hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> Da
     items = found.select("k1", "k2", "win").distinct().join(wins.where("item_id is not null"), "win").select("k1", "k2", F.col("item_id").cast("string").alias("i")).distinct()
     items = items.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("items"))  # no more than the benchmark's items
     marks = hits.join(items, ["k1", "k2"], "left")
-    counted = index.where(F.col("term") == END).select("k1", "k2", "doc_id", (F.col("pos") - F.col("empties")).cast("long").alias("n_words"))
+    counted = index.where(F.col("term") == END).select("k1", "k2", "doc_id", F.col("n_words").cast("long").alias("n_words"))
     out = counted.join(marks, ["k1", "k2"], "left")
     names = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
