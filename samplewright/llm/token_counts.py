@@ -23,24 +23,31 @@ from pyspark.sql import functions as F
 
 from .sparkio import Scratch
 
-RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: A vocabulary by its name in the tokenizers' package, or by a path.
+RANKS = "byte_bpe_50k.tiktoken"
 #: Lengths are summed in groups of so many, then within them, so no task holds all.
 GROUP = 1024
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str):
+def read_ranks(path: str) -> tuple[bytes, str]:
+    """(a vocabulary file, the pattern that cuts text before it applies), read on the driver."""
     import public_tokenizers
+
+    with open(path if "/" in path else public_tokenizers.path(path), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@lru_cache(maxsize=2)
+def encoder(ranks: bytes, pattern: str):
     import tiktoken
 
-    with open(path, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
 
-def _lengths(path: str, text: str):
+def _lengths(ranks, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(*ranks.value).encode_ordinary
         for b in batches:
             count: dict[int, int] = {}
             for t in b.column(text):
@@ -53,8 +60,10 @@ def _lengths(path: str, text: str):
 
 
 def length_histogram(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> DataFrame:
-    """(n_tokens, n_docs), one row for each length that occurs."""
-    each = docs.select(text).mapInArrow(_lengths(ranks, text), "n_tokens long, n_docs long")
+    """(n_tokens, n_docs), one row for each length that occurs. ranks: a
+    vocabulary file on the driver, some 1 MB, that is broadcast to the executors."""
+    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks))
+    each = docs.select(text).mapInArrow(_lengths(sent, text), "n_tokens long, n_docs long")
     counts = each.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
     return Scratch(docs.sparkSession, "lengths").save(counts, "histogram")
 

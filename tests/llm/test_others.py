@@ -144,7 +144,7 @@ def test_lines(spark):
 def test_token_counts(spark):
     texts = ["the cat", "the", None, "", "a " * 3000, "the cat", "né ß 日本"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    encode = token_counts.encoder(token_counts.RANKS).encode_ordinary
+    encode = token_counts.encoder(*token_counts.read_ranks(token_counts.RANKS)).encode_ordinary
     n = [len(encode(t or "")) for t in texts]
     sums = token_counts.suffix_sums(token_counts.length_histogram(df))
     for r in sums.collect():
