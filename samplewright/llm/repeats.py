@@ -37,8 +37,8 @@ from .sparkio import Scratch, buckets_for, free_shuffles, reduced
 #: Bytes handled by one round of array passes; a longer text is cut into
 #: overlapping pieces, which changes blocks but never which windows repeat.
 PIECE = 1 << 18
-#: Windows that are spelled out at a time.
-SPELLED = 1 << 18
+#: Bytes of blocks whose windows are spelled out at a time; sorting their suffixes takes some 50 times as much.
+SPELLED = 1 << 20
 
 ROWS = "kind int, bucket int, key long, lo int, n int, packed binary"
 ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("packed", pa.binary())])
@@ -334,7 +334,7 @@ def merge_content(n: int, both: bool):
         e, size, start = e[order], size[order], start[order]
         # slices of whole anchors
         group = np.cumsum(np.r_[True, e["anchor"][1:] != e["anchor"][:-1]]) - 1
-        before = np.cumsum(e["n"], dtype=np.int64) - e["n"]
+        before = np.cumsum(size) - size
         slice_ = (before[np.searchsorted(group, group)]) // SPELLED
         for own in np.split(np.arange(len(e)), np.flatnonzero(np.diff(slice_)) + 1):
             m, long = e["n"][own].astype(np.int64), size[own]

@@ -43,6 +43,8 @@ WINDOW, GRAM = 35, 16
 #: Low bits of a gram's hash that give way to its place, so the leftmost of equal ones is the least.
 PLACE_BITS = H.U64(22)
 HIT, SPELL = 0, 1
+#: Windows in one batch of rows.
+TOGETHER = 1 << 17
 
 PLACES = pa.list_(pa.struct([("key", pa.int64()), ("lo", pa.int32())]))
 ENTRIES = "anchor long, c1 long, c2 long, key long, lo int, n int, more array<struct<key: long, lo: int>>"
@@ -125,8 +127,8 @@ def _window_rows(n: int):
                 begin = np.repeat(first[text] + lo, m) + R._ramp(m)
                 text = np.repeat(text, m)
                 c1, c2 = H.Field(a, 0).spans(begin, begin + n), H.Field(b, 1).spans(begin, begin + n)
-                for at in range(0, len(begin), R.SPELLED):
-                    own = slice(at, at + R.SPELLED)
+                for at in range(0, len(begin), TOGETHER):
+                    own = slice(at, at + TOGETHER)
                     yield packed([np.zeros(len(begin[own]), np.int64), c1[own].view(np.int64), c2[own].view(np.int64), keys[text[own]], begin[own] - first[text[own]], np.ones(len(begin[own]), np.int64)])
 
     return run
