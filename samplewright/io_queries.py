@@ -328,8 +328,8 @@ RAW = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(CAST
 @query(f"""WITH r AS ({RAW}), {bounds_sql("SELECT 'price' AS feature, try_cast(price AS FLOAT) AS x FROM r WHERE try_cast(price AS FLOAT) > 0", 10, positive=True)}
 SELECT o_orderkey, coalesce(CASE WHEN try_cast(price AS DOUBLE) IS NOT NULL THEN CAST({bin_sql('try_cast(price AS DOUBLE)', 'price')} AS VARCHAR) END, price) AS price FROM r""")
 def discretize_or_raw(spark, sf_dir):
-    """Bounds of the positive values; what is no number stays as it is."""
-    price = F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise((F.round("o_totalprice").cast("long") - 100000).cast("string"))
+    """Bounds of the positive values; what is no number stays as it is. Half prices go to the even neighbour, as in SQL's cast."""
+    price = F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise((F.rint("o_totalprice").cast("long") - 100000).cast("string"))
     df = table(spark, sf_dir, "orders").select("o_orderkey", price.alias("price"))
     return D.apply(df, D.learn(df, ["price"], positive_only=True), ["price"], "or_raw")
 

@@ -29,6 +29,20 @@ def test_queries_equal_their_sql(spark):
     assert not wrong
 
 
+def test_half_prices_are_rounded_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    # whole and half prices on both sides of 100000, keys divisible by 5, a null
+    prices = [99_990 + k / 2 for k in range(60)] + [100_000.5, 100_002.5, 99_999.49, 100_003.51, 100_000.0, None]
+    spark.createDataFrame(list(enumerate(prices, 1)), "o_orderkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    other = con.execute(f"SELECT o_orderkey, price FROM ({entry.oracle_sql()['discretize_or_raw']}) ORDER BY o_orderkey").fetchall()
+    own = entry.queries()["discretize_or_raw"](spark, str(tmp_path)).orderBy("o_orderkey").collect()
+    assert [(r.o_orderkey, r.price) for r in own] == other
+    assert len({price for _, price in other}) > 5 and other[-1] == (66, None)
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
