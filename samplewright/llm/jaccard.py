@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from . import repeats as R
 from . import seqhash as H
 from .components import components
-from .sparkio import Scratch, buckets_for, by_doc_id, keyed, reduced
+from .sparkio import Scratch, buckets_for, by_doc_id, keyed, reduced, tasks_for
 
 K, SIMILAR = 5, 75
 BLOCK = 256
@@ -436,7 +436,7 @@ def linked(members: DataFrame, alive: DataFrame, scratch: Scratch) -> DataFrame:
 def keyed_components(own: DataFrame, scratch: Scratch) -> DataFrame:
     """own (key, text), a row for each document → key, n_shingles, component (the smallest key in it)."""
     parts = buckets_for(own)
-    found = reduced(own.mapInArrow(_prefix_rows(parts), SIZES), parts, _prefix_counts, SIZES)
+    found = reduced(own.mapInArrow(_prefix_rows(parts), SIZES), parts, _prefix_counts, SIZES, tasks_for(own, parts))
     found = scratch.save(found.select("kind", "key", "n", "d1", "d2"), "prefixes")
     each = found.where(F.col("kind") == R.SPELL).select("key", "n", "d1", "d2")
     sets = each.where("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("sid"), F.first("n").alias("n"))

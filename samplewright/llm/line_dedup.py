@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from . import seqhash as H
-from .sparkio import Scratch, buckets_for, keyed, reduced
+from .sparkio import Scratch, buckets_for, keyed, reduced, tasks_for
 
 #: A chunk ends after a line with a chance of 1 in so many.
 MEAN_LINES = 4
@@ -161,7 +161,7 @@ def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _repeated(docs: DataFrame, cut, scratch: Scratch, name: str) -> DataFrame:
     """docs (key, text, …) → (key, lo, n): byte spans of what `cut` gives that stand earlier too."""
     parts = buckets_for(docs)
-    rows = reduced(docs.mapInArrow(_chunk_rows(parts, cut), GROUPS), parts, _chunk_groups, GROUPS)
+    rows = reduced(docs.mapInArrow(_chunk_rows(parts, cut), GROUPS), parts, _chunk_groups, GROUPS, tasks_for(docs, parts))
     found = scratch.save(rows.select("kind", "gid", "key", "lo", "n"), f"{name}-groups")
     spans = found.groupBy("key").agg(F.collect_list(F.struct("kind", "gid", "lo", "n")).alias("spans"))
     each = docs.select("key", "text").join(spans.hint("merge"), "key").select("key", "text", "spans").mapInArrow(_bytes, "kind int, gid long, key long, lo int, n int, chunk binary")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch, delete, free_shuffles, numbered, read_small, write_small
 from .seqhash import trim
 
-__all__ = ["Scratch", "ascii_lower", "buckets_for", "by_doc_id", "delete", "free_shuffles", "keyed", "read", "read_small", "reduced", "write_small"]
+__all__ = ["Scratch", "ascii_lower", "buckets_for", "by_doc_id", "delete", "free_shuffles", "keyed", "read", "read_small", "reduced", "tasks_for", "write_small"]
 
 #: A bucket of packed entries is planned for about so many bytes of scanned input; its reducer holds one.
 BUCKET_BYTES = 4 << 20
@@ -36,9 +36,18 @@ def buckets_for(df: DataFrame) -> int:
     return max(least, size // BUCKET_BYTES)
 
 
-def reduced(rows: DataFrame, buckets: int, reduce, schema) -> DataFrame:
-    """rows (bucket, …) dealt by bucket; reduce (batches to batches) sees one bucket at a time, in order."""
-    return rows.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket").mapInArrow(one_by_one(reduce), schema)
+def tasks_for(df: DataFrame, buckets: int) -> int:
+    """Tasks for the buckets of a table: one for each BUCKET_BYTES and at least one for each core, so that
+    a small table's buckets are not as many files; see scratch.LOCAL for what these cost."""
+    size = input_bytes(df)
+    if size > 1 << 60:  # no statistics
+        return buckets
+    return min(buckets, max(df.sparkSession.sparkContext.defaultParallelism, size // BUCKET_BYTES))
+
+
+def reduced(rows: DataFrame, buckets: int, reduce, schema, tasks: int = MOST_TASKS) -> DataFrame:
+    """rows (bucket, …) dealt by bucket to so many tasks at most; reduce (batches to batches) sees one bucket at a time, in order."""
+    return rows.repartition(min(buckets, tasks, MOST_TASKS), "bucket").sortWithinPartitions("bucket").mapInArrow(one_by_one(reduce), schema)
 
 
 def one_by_one(reduce):
